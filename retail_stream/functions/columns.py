@@ -85,31 +85,46 @@ def log_topic(value: Column | str, prefix: str = "") -> Column:
     ).otherwise(F.lit(schemas.full_name(schemas.EVENT, prefix)))
 
 
-def last_per_name(entries: Column, name: str) -> Column:
-    """Keep, in an array of structs, the last entry of each ``name`` field and drop null names.
-
-    The pairwise check runs only for rows in which a name really repeats.
-    """
+def _last_per_name(entries: Column, name: str) -> Column:
+    """Keep, in an array of structs, the last entry of each ``name`` field and drop null names."""
     entries = F.filter(entries, lambda e: e[name].isNotNull())
-    names = F.transform(entries, lambda e: e[name])
-    last_only = F.filter(
+    names = entries[name]
+    return F.filter(
         entries,
         lambda e, i: F.array_position(F.slice(names, i + 2, F.size(names)), e[name]) == 0,
     )
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(last_only)
 
 
-def stamped_json(value: Column | str, ts: Column) -> Column:
-    """Set ``ts`` (milliseconds) in a JSON object given as text; null when it is no object.
+def _all_distinct(names: Column) -> Column:
+    return (F.size(F.array_distinct(names)) == F.size(names)) & ~F.array_contains(
+        F.transform(names, lambda n: n.isNull()), True
+    )
+
+
+def json_members(value: Column | str) -> Column:
+    """Members of a JSON object given as text, values with their JSON types; null when it is none."""
+    return F.from_json(_col(value), "map<string,variant>")
+
 
-    Values keep their JSON types; a client's own ``ts`` is replaced.
-    """
-    members = F.map_entries(F.from_json(_col(value), "map<string,variant>"))
-    kept = F.filter(last_per_name(members, "key"), lambda e: e["key"] != "ts")
-    stamp = F.struct(F.lit("ts").alias("key"), ts.cast("bigint").cast("variant").alias("value"))
-    return F.to_json(F.map_from_entries(F.concat(kept, F.array(stamp))))
+def stamped_json(members: Column | str, ts: Column) -> Column:
+    """JSON object of the members with ``ts`` set, in place of a ``ts`` they had. A repeated name
+    keeps its last value; looking for it is left to the rows that have one."""
+    members = _col(members)
+    stamp = ts.cast("bigint").cast("variant")
+    plain = F.map_concat(
+        F.map_filter(members, lambda k, v: k != "ts"), F.create_map(F.lit("ts"), stamp)
+    )
+    last = F.filter(_last_per_name(F.map_entries(members), "key"), lambda e: e["key"] != "ts")
+    entry = F.struct(F.lit("ts").alias("key"), stamp.alias("value"))
+    repaired = F.map_from_entries(F.concat(last, F.array(entry)))
+    names = F.map_keys(members)
+    distinct = F.size(F.array_distinct(names)) == F.size(names)
+    return F.to_json(F.when(distinct, plain).when(members.isNotNull(), repaired))
 
 
 def after_image_json(after: Column | str) -> Column:
     """Changed row as a flat JSON object: column name to value text, a repeated name keeps the last."""
-    return F.to_json(F.map_from_entries(last_per_name(_col(after), "name")))
+    after = _col(after)
+    plain = F.map_from_arrays(after["name"], after["value"])
+    repaired = F.map_from_entries(_last_per_name(after, "name"))
+    return F.to_json(F.when(_all_distinct(after["name"]), plain).otherwise(repaired))

@@ -17,8 +17,8 @@ def _stamp_ms(raw: DataFrame) -> Column:
 
 
 def _stamped(raw: DataFrame) -> DataFrame:
-    ms = _stamp_ms(raw)
-    return evaluate_once(raw, stamped=C.stamped_json("value", ms), stamp_ms=ms)
+    parsed = evaluate_once(raw, members=C.json_members("value"), stamp_ms=_stamp_ms(raw))
+    return evaluate_once(parsed, stamped=C.stamped_json("members", F.col("stamp_ms")))
 
 
 def route_logs(raw: DataFrame, prefix: str = "") -> DataFrame:
@@ -37,4 +37,5 @@ def route_logs(raw: DataFrame, prefix: str = "") -> DataFrame:
 def rejected_logs(raw: DataFrame) -> DataFrame:
     """Raw lines that hold no JSON object."""
     rest = [c for c in raw.columns if c == "arrival_ts"]
-    return _stamped(raw).filter(F.col("stamped").isNull()).select("value", *rest)
+    parsed = evaluate_once(raw, members=C.json_members("value"))
+    return parsed.filter(F.col("members").isNull()).select("value", *rest)

@@ -358,7 +358,7 @@ def stream_ingest_logs(spark, sf_dir):
             fmt="json", trigger=jobs.AVAILABLE_NOW,
         )
 
-    replay(raw, f"{path}/raw", start, parts=2)
+    replay(raw, f"{path}/raw", start)
     starts = sources.read_topic(spark, schemas.STARTUP, "json", _json(path), streaming=False)
     return daily_active(starts)
 
@@ -387,7 +387,7 @@ def stream_order_facts(spark, sf_dir):
             raw, f"{path}/orders", f"{path}/checkpoint", jobs.AVAILABLE_NOW
         )
 
-    replay(messages, f"{path}/topics", start, parts=2)
+    replay(messages, f"{path}/topics", start)
     return tables.read_table(spark, tables.ORDERS, f"{path}/orders")
 
 
@@ -400,7 +400,7 @@ def stream_users(spark, sf_dir):
         raw = sources.read_topic(spark, schemas.USER, "json", _json(path))
         return jobs.stream_users(raw, f"{path}/users", f"{path}/checkpoint", jobs.AVAILABLE_NOW)
 
-    replay(messages, f"{path}/topics", start, parts=2)
+    replay(messages, f"{path}/topics", start)
     return tables.read_table(spark, tables.USERS, f"{path}/users").drop("arrival_ts")
 
 
@@ -420,7 +420,7 @@ def stream_sale_detail(spark, sf_dir):
             as_of=given.AS_OF, trigger=jobs.AVAILABLE_NOW,
         )
 
-    replay(messages, f"{path}/topics", start, parts=3, bounds=arrival_bounds(orders, 3))
+    replay(messages, f"{path}/topics", start, bounds=arrival_bounds(orders))
     return tables.read_table(spark, tables.SALES, f"{path}/sales")
 
 
@@ -434,7 +434,7 @@ def stream_coupon_alert(spark, sf_dir):
         F.lit("none").alias("mid"), F.lit(FAR_AHEAD_MS).alias("ts"),
         F.timestamp_millis(F.lit(FAR_AHEAD_MS)).alias("arrival_ts"),
     )
-    bounds = arrival_bounds(messages, 3)
+    bounds = arrival_bounds(messages)
 
     def start():
         raw = sources.read_topic(spark, schemas.EVENT, "json", _json(path))

@@ -4,6 +4,10 @@ Every micro-batch owns the folder ``batch_id=<n>`` and rewrites it when it is re
 query neither loses nor doubles rows, and no file another batch wrote is touched. Reading keeps one
 row per key. A query that starts over with an empty checkpoint counts its batches from 0 again and
 needs a fresh table path.
+
+Inside a batch, rows lie in folders by day or, where a backlog may span years, by month and then sorted
+by day: a filter on days skips folders first and row groups next, and a replay of many years does not
+write a tiny file per day and task.
 """
 
 from __future__ import annotations
@@ -22,11 +26,14 @@ EMPTY_BATCH = -1
 
 @dataclass(frozen=True)
 class Table:
-    """A keyed table. ``order`` ranks the rows of one key; the smallest or the largest is kept."""
+    """A keyed table. ``order`` ranks the rows of one key; the smallest or the largest is kept.
+    ``day`` is the column that holds a row's day, ``folder`` the column folders are made by: the day
+    itself, a month taken from it, or another column."""
 
     name: str
     key: tuple[str, ...]
-    partition: str | None
+    day: str | None
+    folder: str | None
     columns: tuple[tuple[str, str], ...]
     order: tuple[str, ...]
     keep: str
@@ -45,24 +52,24 @@ def _typed(names: tuple[str, ...], other: dict[str, str]) -> tuple[tuple[str, st
 
 
 DAU = Table(
-    "dau", ("log_date", "mid"), "log_date",
+    "dau", ("log_date", "mid"), "log_date", "log_date",
     _typed(schemas.STARTUP_COLUMNS, {"ts": "bigint"}), ("ts", "uid"), "first",
 )
 ORDERS = Table(
-    "order_info", ("id",), "create_date",
+    "order_info", ("id",), "create_date", "create_month",
     _typed(schemas.ORDER_COLUMNS, {"total_amount": "double"}), ("batch_id",), "last",
 )
 USERS = Table(
-    "user_info", ("id",), None,
+    "user_info", ("id",), None, None,
     (*_typed(schemas.USER_COLUMNS, {}), ("arrival_ts", "timestamp")), ("arrival_ts",), "last",
 )
 SALES = Table(
-    "sale_detail", ("order_id", "order_detail_id"), "dt",
+    "sale_detail", ("order_id", "order_detail_id"), "dt", "month",
     (*_typed(schemas.SALE_COLUMNS, {"user_age": "int", "sku_price": "double"}), ("doc_id", "string")),
     ("batch_id",), "first",
 )
 ALERTS = Table(
-    "coupon_alert", ("mid", "ts"), None,
+    "coupon_alert", ("mid", "ts"), None, None,
     _typed(
         schemas.ALERT_COLUMNS,
         {"uids": "array<string>", "itemIds": "array<string>", "events": "array<string>", "ts": "bigint"},
@@ -70,18 +77,36 @@ ALERTS = Table(
     ("batch_id",), "last",
 )
 REJECTS = Table(
-    "rejects", (), "topic",
+    "rejects", (), None, "topic",
     (("topic", "string"), ("value", "string"), ("reason", "string"), ("arrival_ts", "timestamp")),
     (), "first",
 )
 
 
+def _month(day: str):
+    return F.substring(day, 1, 7)
+
+
+def _placed(rows: DataFrame, table: Table) -> DataFrame:
+    """The table's columns plus, if it is none of them, the folder column."""
+    rows = rows.select(*table.fields)
+    if table.folder and table.folder not in table.fields:
+        rows = rows.withColumn(table.folder, _month(table.day))
+    return rows
+
+
+def _write(placed: DataFrame, table: Table, path: str, batch_id: int) -> None:
+    if table.folder:
+        order = dict.fromkeys(c for c in (table.folder, table.day) if c)
+        writer = placed.sortWithinPartitions(*order).write.partitionBy(table.folder)
+    else:
+        writer = placed.write
+    writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def write_batch(rows: DataFrame, table: Table, path: str, batch_id: int) -> None:
     """Write one micro-batch's rows, replacing an earlier attempt of the same batch."""
-    writer = rows.select(*table.fields).write.mode("overwrite")
-    if table.partition:
-        writer = writer.partitionBy(table.partition)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    _write(_placed(rows, table), table, path, batch_id)
 
 
 def batch_writer(table: Table, path: str) -> Callable[[DataFrame, int], None]:
@@ -90,11 +115,12 @@ def batch_writer(table: Table, path: str) -> Callable[[DataFrame, int], None]:
 
 
 def write_table(rows: DataFrame, table: Table, path: str, batch_id: int = 0) -> None:
-    """Write a whole batch result. The rebalance step keeps every partition folder to few files of
-    even size and splits a folder that holds most rows."""
-    if table.partition:
-        rows = rows.hint("rebalance", table.partition)
-    write_batch(rows, table, path, batch_id)
+    """Write a whole batch result. The rebalance step keeps every folder to few files of even size
+    and splits a folder that holds most rows."""
+    placed = _placed(rows, table)
+    if table.folder:
+        placed = placed.hint("rebalance", table.folder)
+    _write(placed, table, path, batch_id)
 
 
 def create_table(spark: SparkSession, table: Table, path: str) -> None:
@@ -113,24 +139,31 @@ def one_per_key(rows: DataFrame, table: Table) -> DataFrame:
     return one.select(*[n if n in table.key else f"row.{n}" for n in table.fields])
 
 
-def read_rows(spark: SparkSession, table: Table, *paths: str) -> DataFrame:
-    """All written rows with their ``batch_id``, keys possibly repeated."""
-    schema = T.StructType([*table.schema.fields, T.StructField("batch_id", T.LongType())])
+def read_rows(
+    spark: SparkSession, table: Table, *paths: str, days: list[str] | None = None
+) -> DataFrame:
+    """All written rows with their ``batch_id``, keys possibly repeated; on request of some days only."""
+    extra = [T.StructField("batch_id", T.LongType())]
+    if table.folder and table.folder not in table.fields:
+        extra.append(T.StructField(table.folder, T.StringType()))
+    schema = T.StructType([*table.schema.fields, *extra])
     frames = [spark.read.schema(schema).parquet(p) for p in paths]
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)
+    if days is None:
+        return rows
+    rows = rows.filter(F.col(table.day).isin(*days))
+    if table.folder != table.day:
+        rows = rows.filter(F.col(table.folder).isin(*sorted({d[:7] for d in days})))
     return rows
 
 
 def read_table(
-    spark: SparkSession, table: Table, *paths: str, partitions: list[str] | None = None
+    spark: SparkSession, table: Table, *paths: str, days: list[str] | None = None
 ) -> DataFrame:
-    """One row per key over one or several paths, on request of some partitions only."""
-    rows = read_rows(spark, table, *paths)
-    if partitions is not None:
-        rows = rows.filter(F.col(table.partition).isin(*partitions))
-    return one_per_key(rows, table)
+    """One row per key over one or several paths, on request of some days only."""
+    return one_per_key(read_rows(spark, table, *paths, days=days), table)
 
 
 def compact_table(spark: SparkSession, table: Table, path: str, target: str) -> None:

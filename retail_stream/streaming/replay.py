@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from retail_stream.sinks.topics import write_topics
 
 
-def arrival_bounds(messages: DataFrame, parts: int) -> list[int]:
+def arrival_bounds(messages: DataFrame, parts: int = 2) -> list[int]:
     """``parts - 1`` arrival times in microseconds that cut the messages' span evenly."""
     at = F.unix_micros("arrival_ts")
     first, last = messages.agg(F.min(at), F.max(at)).first()
@@ -24,7 +24,7 @@ def replay(
     messages: DataFrame,
     topic_path: str,
     start: Callable[[], StreamingQuery],
-    parts: int = 3,
+    parts: int = 2,
     bounds: list[int] | None = None,
 ) -> None:
     """Append the messages to file topics part by part and run the query once after each.
