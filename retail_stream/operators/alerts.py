@@ -57,7 +57,7 @@ def coupon_alerts(
     )
 
     def merged(name: str):
-        return F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
+        return F.sort_array(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
 
     # A pane with a click cancels every window it is part of; its sets need not travel.
     def unless_clicked(name: str):

@@ -58,7 +58,7 @@ def _messages(rows: DataFrame, topic: schemas.Topic) -> DataFrame:
 
 
 def _text(alert_rows: DataFrame) -> DataFrame:
-    lists = {n: F.array_join(F.array_sort(n), ",") for n in ("uids", "itemIds", "events")}
+    lists = {n: F.array_join(F.sort_array(n), ",") for n in ("uids", "itemIds", "events")}
     return alert_rows.select(*schemas.ALERT_COLUMNS).withColumns(lists)
 
 
