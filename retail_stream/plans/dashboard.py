@@ -8,11 +8,25 @@ from retail_stream.operators import counts
 from retail_stream.sinks import tables
 
 
+def _active(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_table(spark, tables.DAU, path, columns=("log_hour",))
+
+
+def dau_total(spark: SparkSession, path: str, date: str) -> DataFrame:
+    """The day's number of active devices."""
+    return counts.dau_total(_active(spark, path), date)
+
+
+def dau_hourly(spark: SparkSession, path: str, date: str) -> DataFrame:
+    """The day's active devices by hour."""
+    return counts.dau_hourly(_active(spark, path), date)
+
+
 def realtime_total(spark: SparkSession, path: str, date: str) -> DataFrame:
     """The day's total and its new devices as one JSON row."""
-    return counts.realtime_total(tables.read_table(spark, tables.DAU, path), date)
+    return counts.realtime_total(_active(spark, path), date)
 
 
 def realtime_hours(spark: SparkSession, path: str, id: str, date: str) -> DataFrame:
     """Hour maps of the day and the day before as one JSON row."""
-    return counts.realtime_hours(tables.read_table(spark, tables.DAU, path), id, date)
+    return counts.realtime_hours(_active(spark, path), id, date)

@@ -19,6 +19,7 @@ def sale_details(
     The user fields depend on the order alone, so they are merged into the orders before the lines
     come in: the many lines are then shuffled for the order join only, never by user.
     """
-    known = sales.enrich_users(orders, sales.user_snapshot(users), as_of)
+    needed = users.select("id", "user_level", "birthday", "gender", "arrival_ts")
+    known = sales.enrich_users(orders, sales.user_snapshot(needed), as_of)
     joined = sales.join_sales(known, details, tolerance_seconds)
     return sales.with_document_id(sales.sale_columns(joined))

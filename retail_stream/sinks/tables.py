@@ -12,7 +12,7 @@ write a tiny file per day and task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,15 +128,19 @@ def create_table(spark: SparkSession, table: Table, path: str) -> None:
     write_batch(spark.createDataFrame([], table.schema), table, path, EMPTY_BATCH)
 
 
-def one_per_key(rows: DataFrame, table: Table) -> DataFrame:
-    """The first or last row of each key. Filters on key columns reach the scan below."""
+def one_per_key(rows: DataFrame, table: Table, columns: Sequence[str] | None = None) -> DataFrame:
+    """The first or last row of each key: all columns, or the key and the ones named.
+
+    Filters on key columns reach the scan below, and only the columns needed are read.
+    """
+    wanted = table.fields if columns is None else (*table.key, *columns)
     if not table.key:
-        return rows.select(*table.fields)
-    rest = [n for n in table.fields if n not in table.key and n not in table.order]
+        return rows.select(*wanted)
+    rest = [n for n in wanted if n not in table.key and n not in table.order]
     ranked = F.struct(*table.order, *rest)
     best = F.min(ranked) if table.keep == "first" else F.max(ranked)
     one = rows.groupBy(*table.key).agg(best.alias("row"))
-    return one.select(*[n if n in table.key else f"row.{n}" for n in table.fields])
+    return one.select(*[n if n in table.key else f"row.{n}" for n in wanted])
 
 
 def read_rows(
@@ -160,10 +164,14 @@ def read_rows(
 
 
 def read_table(
-    spark: SparkSession, table: Table, *paths: str, days: list[str] | None = None
+    spark: SparkSession,
+    table: Table,
+    *paths: str,
+    days: list[str] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key over one or several paths, on request of some days only."""
-    return one_per_key(read_rows(spark, table, *paths, days=days), table)
+    """One row per key over one or several paths, on request of some days or columns only."""
+    return one_per_key(read_rows(spark, table, *paths, days=days), table, columns)
 
 
 def compact_table(spark: SparkSession, table: Table, path: str, target: str) -> None:
