@@ -10,6 +10,8 @@ SETTINGS = {
     # Joins and rebalanced writes rely on it for hot keys and for choosing broadcasts by size.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where a later step would have reused the join's partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # State larger than memory, and small changelog uploads per batch.
     "spark.sql.streaming.stateStore.providerClass":
