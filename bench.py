@@ -63,7 +63,7 @@ def timed(spark: SparkSession, run, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     spark = session(cpus)
     run = registry.all_queries()
     seconds: dict[str, float] = {}

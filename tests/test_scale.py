@@ -49,9 +49,10 @@ def test_lines_are_shuffled_for_the_join_and_once_for_repeats(spark, settings, t
 
 def test_starts_are_cut_before_the_shuffle(spark):
     plan = plan_of(dedup.first_starts(given.startup_logs(spark, SMALL)))
-    after, before = plan.split("Exchange hashpartitioning")
+    after, before = plan.split("Exchange hashpartitioning(mid")
     assert "WindowGroupLimit" in after and "WindowGroupLimit" in before
     assert "event_type,signup" in before.split("PushedFilters")[1]
+    assert before.split("ReadSchema")[1].count(":") == 5
 
 
 def _skewed(spark, settings):
