@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from retail_stream import schemas
 
 EMPTY_BATCH = -1
+# Files per folder and micro-batch; raise it where a batch brings more than some hundred MB.
+FILES = 4
 
 
 @dataclass(frozen=True)
@@ -104,14 +106,28 @@ def _write(placed: DataFrame, table: Table, path: str, batch_id: int) -> None:
     writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def write_batch(rows: DataFrame, table: Table, path: str, batch_id: int) -> None:
-    """Write one micro-batch's rows, replacing an earlier attempt of the same batch."""
-    _write(_placed(rows, table), table, path, batch_id)
+def write_batch(
+    rows: DataFrame, table: Table, path: str, batch_id: int, files: int = FILES
+) -> None:
+    """Write one micro-batch's rows, replacing an earlier attempt of the same batch.
+
+    A folder gets at most ``files`` files per batch. Without that bound each state partition would
+    leave one in every folder, and short triggers would soon make millions.
+    """
+    placed = _placed(rows, table)
+    if table.folder:
+        part = F.pmod(F.xxhash64(*(table.key or table.fields)), F.lit(files))
+        placed = placed.repartition(table.folder, part)
+    else:
+        placed = placed.repartition(files)
+    _write(placed, table, path, batch_id)
 
 
-def batch_writer(table: Table, path: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    table: Table, path: str, files: int = FILES
+) -> Callable[[DataFrame, int], None]:
     """``write_batch`` in the form ``foreachBatch`` takes."""
-    return lambda rows, batch_id: write_batch(rows, table, path, batch_id)
+    return lambda rows, batch_id: write_batch(rows, table, path, batch_id, files)
 
 
 def write_table(rows: DataFrame, table: Table, path: str, batch_id: int = 0) -> None:

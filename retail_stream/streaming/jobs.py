@@ -113,18 +113,23 @@ def stream_dau(
     trigger: Trigger = EVERY_5_SECONDS,
     delay: str = "10 minutes",
     day_offset: str = "0 hours",
+    files: int = tables.FILES,
 ) -> StreamingQuery:
     """Start messages to the table of daily active devices."""
     first = operators.first_starts(records.startup_logs(raw), delay, day_offset)
-    return _start(first, tables.batch_writer(tables.DAU, path), checkpoint, trigger, "update")
+    return _start(first, tables.batch_writer(tables.DAU, path, files), checkpoint, trigger, "update")
 
 
 def stream_order_facts(
-    raw: DataFrame, path: str, checkpoint: str, trigger: Trigger = EVERY_3_SECONDS
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = EVERY_3_SECONDS,
+    files: int = tables.FILES,
 ) -> StreamingQuery:
     """Order messages to the order table."""
     return _start(
-        records.orders(raw), tables.batch_writer(tables.ORDERS, path), checkpoint, trigger
+        records.orders(raw), tables.batch_writer(tables.ORDERS, path, files), checkpoint, trigger
     )
 
 
@@ -160,6 +165,7 @@ def stream_sale_detail(
     tolerance_seconds: int = sales.TOLERANCE_SECONDS,
     delay: str = "10 seconds",
     salts: int = 4,
+    files: int = tables.FILES,
 ) -> StreamingQuery:
     """Order and line messages to the sale table, with the user table as it is at each batch.
 
@@ -177,7 +183,7 @@ def stream_sale_detail(
             users = tables.one_per_key(_users_of(batch, stored), tables.USERS)
             day = F.current_date() if as_of is None else as_of
             rows = sales.with_document_id(sales.enrich_users(batch, users, day))
-            tables.write_batch(rows, tables.SALES, path, batch_id)
+            tables.write_batch(rows, tables.SALES, path, batch_id, files)
         finally:
             batch.unpersist()
 
