@@ -52,7 +52,7 @@ def measures(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("host"),
         text.alias("text"),
-        F.filter(F.split(text, WHITE), lambda w: w != "").alias("words"),
+        F.array_remove(F.split(text, WHITE), "").alias("words"),
     )
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     plain = F.length(F.translate("text", SYMBOLS, ""))

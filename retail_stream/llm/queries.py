@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_stream.llm import host_rules, packing, token_counts, warc
+from retail_stream.llm import decontamination, host_rules, packing, perplexity, simhash, token_counts, warc
 from retail_stream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,15 +29,31 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
     "op4_host_rules": op4_host_rules,
+    "op6_perplexity": op6_perplexity,
     "op7_packing": op7_packing,
+    "op9_decontamination": op9_decontamination,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
