@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_stream.llm import decontamination, host_rules, packing, perplexity, simhash, token_counts, warc
+from retail_stream.llm import (
+    byte_windows,
+    decontamination,
+    host_rules,
+    packing,
+    perplexity,
+    simhash,
+    token_counts,
+    warc,
+    word_windows,
+)
 from retail_stream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +33,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.histogram(lengths))
 
 
+def op3_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_windows.digest(word_windows.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_rules(table(spark, sf_dir, "documents")).drop(
         "host", "host_kept", *[f"rate_{r}" for r in host_rules.RULES]
@@ -37,6 +51,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
 
+def op8_byte_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_windows.digest(byte_windows.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,9 +67,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
+    "op3_word_windows": op3_word_windows,
     "op4_host_rules": op4_host_rules,
     "op6_perplexity": op6_perplexity,
     "op7_packing": op7_packing,
+    "op8_byte_windows": op8_byte_windows,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
