@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_stream.llm.common import doc_key, stored
+from retail_stream.llm.common import NO_ID, doc_key, stored
 
 WINDOW = 10
 SHINGLE = 3
@@ -136,7 +136,7 @@ def occurrences(at: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document n_words, n_hit (words inside an occurrence of a window), n_items and items_sha256
+    """Per document doc_id, version (a hash of the text), n_words, n_hit (words inside an occurrence of a window), n_items and items_sha256
     (items with occurring windows, ids as sorted text), contaminated.
 
     One row per input row; rows with equal id and text get equal results. A null or empty text has no
@@ -171,7 +171,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ids = F.coalesce("items", F.array().cast("array<string>"))
     zero = F.lit(0).cast("bigint")
     return joined.select(
-        F.when(F.col("doc") != 2**63 - 1, F.col("doc")).alias("doc_id"),
+        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
+        "version",
         "n_words",
         F.coalesce("n_hit", zero).alias("n_hit"),
         F.size(ids).cast("bigint").alias("n_items"),

@@ -11,6 +11,7 @@ from retail_stream.llm import (
     byte_windows,
     decontamination,
     host_rules,
+    line_templates,
     packing,
     perplexity,
     simhash,
@@ -43,8 +44,14 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_templates.drop_templates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = perplexity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("version")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +63,8 @@ def op8_byte_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("version")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op3_word_windows": op3_word_windows,
     "op4_host_rules": op4_host_rules,
+    "op5_line_templates": op5_line_templates,
     "op6_perplexity": op6_perplexity,
     "op7_packing": op7_packing,
     "op8_byte_windows": op8_byte_windows,

@@ -52,15 +52,16 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint per row."""
+    """doc_id, version (a hash of the text) and fp per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(x) for x in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            found = [fingerprint(x) for x in batch.column(2).to_pylist()]
+            yield pa.record_batch([*batch.columns[:2], pa.array(found, pa.int64())], ["doc_id", "version", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("version"), text)
+    return rows.mapInArrow(run, "doc_id bigint, version bigint, fp bigint")
 
 
 def _postings(fps: DataFrame) -> DataFrame:
@@ -127,7 +128,8 @@ def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id per row: the smallest doc_id reachable over links of 3 bits or fewer.
+    """doc_id, version, fp, component_id, root per row: component_id is the smallest doc_id reachable
+    over links of 3 bits or fewer, root the component's smallest fingerprint.
 
     Equal fingerprints are one node, so copies of a text are never paired. A null text, or one without
     words, has fingerprint 0 and is linked like any other. A null doc_id is never the smallest; a
@@ -138,5 +140,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = rooted.join(least, "root").select("fp", "component_id")
-    return found.join(groups, "fp", "left").select("doc_id", "fp", "component_id")
+    groups = rooted.join(least, "root").select("fp", "component_id", "root")
+    return found.join(groups, "fp", "left").select("doc_id", "version", "fp", "component_id", "root")
