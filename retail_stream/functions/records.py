@@ -56,7 +56,14 @@ def quarantine(raw: DataFrame, topic: Topic) -> DataFrame:
     """The rows ``parse`` leaves out: ``topic``, ``value``, ``reason`` and maybe ``arrival_ts``."""
     decoded = _decode(raw, topic).filter(~_usable(topic))
     nothing = F.col("value").isNull() | (F.trim("value") == "") | F.col(CORRUPT).isNotNull()
-    reason = F.when(nothing, F.lit("malformed")).otherwise(F.lit("missing key"))
+    ranged = F.lit(False)
+    if "ts" in topic.required:
+        # A number that is there, but lies outside the years that can be printed.
+        given = F.get_json_object("value", "$.ts").try_cast("bigint")
+        ranged = F.col("ts").isNull() & given.isNotNull()
+    reason = (
+        F.when(nothing, F.lit("malformed")).when(ranged, F.lit("ts out of range")).otherwise(F.lit("missing key"))
+    )
     rest = [c for c in raw.columns if c == "arrival_ts"]
     return decoded.select(
         F.lit(topic.name).alias("topic"), "value", reason.alias("reason"), *rest

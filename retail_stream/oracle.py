@@ -93,6 +93,54 @@ VIEWS = {
                    'pgid', event_id % 50 + 1, 'npgid', event_id % 50 + 1,
                    'itemid', json_extract_string(props, '$.k')::INTEGER, 'ts', ts_ms) END AS value
         FROM ev""",
+    "damaged": """
+        SELECT event_type, CASE WHEN event_type = 'error' THEN left(whole, length(whole) - 1) ELSE whole END AS value
+        FROM (SELECT event_type, '{' || CASE WHEN event_type = 'view' THEN ''
+                  ELSE '"mid":"' || (user_id % 10) || '",' END || '"uid":"' || user_id
+                || '","appid":"app","area":"area_' || (user_id % 10) || '","os":"'
+                || CASE WHEN ios THEN 'ios' ELSE 'andriod' END || '","type":"event","evid":"'
+                || CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem'
+                   ELSE event_type END
+                || '","pgid":' || (event_id % 50 + 1) || ',"npgid":' || (event_id % 50 + 1)
+                || ',"itemid":' || json_extract_string(props, '$.k') || ',"ts":' || ts_ms || '}' AS whole
+              FROM ev)""",
+    "broken": """
+        SELECT CASE o_orderkey % 4 WHEN 0 THEN 'oops ' || o_orderkey
+                 WHEN 1 THEN '{"entry_type":"ROWDATA","table_name":"' || o_orderkey
+                 WHEN 2 THEN '{"table_name":"' || o_orderkey || '"}'
+                 ELSE '{"entry_type":"ROWDATA","table_name":"' || o_orderkey || '"}' END AS value,
+               CASE o_orderkey % 4 WHEN 2 THEN 'missing key' WHEN 3 THEN 'no rows'
+                 ELSE 'malformed' END AS reason
+        FROM orders""",
+    "repeats": """
+        SELECT * EXCLUDE (arrival, later) REPLACE (
+                 substr(consignee_tel, 1, 4) || '*******' AS consignee_tel,
+                 CASE WHEN id::BIGINT % 3 = 0 THEN 'A again' ELSE order_status END AS order_status,
+                 strftime(later, '%Y-%m-%d %H:%M:%S') AS create_time,
+                 strftime(later, '%Y-%m-%d') AS create_date)
+        FROM (SELECT *, CASE WHEN id::BIGINT % 9 = 0 THEN arrival + INTERVAL 3 DAY ELSE arrival END AS later
+              FROM ord)""",
+    "sale_repeats": """
+        SELECT * EXCLUDE (rn, again, gap) REPLACE (
+                 CASE WHEN again THEN 'A again' ELSE order_status END AS order_status)
+        FROM (
+          SELECT *, row_number() OVER (PARTITION BY order_id, order_detail_id ORDER BY again) AS rn
+          FROM (
+            SELECT det.id AS order_detail_id, ord.id AS order_id, order_status, create_time, user_id,
+                   sku_id, gender AS user_gender,
+                   coalesce((date_diff('day', birthday::DATE, DATE '2024-01-01') // 365)::INTEGER, 0)
+                     AS user_age,
+                   user_level, order_price::DOUBLE AS sku_price, sku_name, create_date AS dt,
+                   ord.id || '-' || det.id AS doc_id, again,
+                   epoch(det.arrival) - epoch(ord.arrival) - CASE WHEN again THEN 100 ELSE 0 END AS gap
+            FROM ord CROSS JOIN (VALUES (false), (true)) v(again)
+            JOIN det ON det.order_id = ord.id LEFT JOIN snap ON user_id = snap.id
+            WHERE NOT again OR ord.id::BIGINT % 3 = 0)
+          WHERE gap BETWEEN -300 AND 300)
+        WHERE rn = 1""",
+    "startup_zone": """
+        SELECT * REPLACE (strftime(ts_at, '%Y-%m-%d') AS log_date, strftime(ts_at, '%H') AS log_hour)
+        FROM (SELECT startup.*, make_timestamp(ts * 1000) + INTERVAL 8 HOUR AS ts_at FROM startup)""",
     "alert": """
         SELECT mid, string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (evid = 'coupon') AS uids,
                string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (evid = 'coupon') AS itemIds,
@@ -108,7 +156,8 @@ VIEWS = {
 # Which views each view reads.
 NEEDS = {
     "startup": ("ev",), "logev": ("ev",), "rawlog": ("ev",),
-    "dau": ("ev", "startup"), "sale": ("ord", "det"), "snap": ("usr",),
+    "damaged": ("ev",), "repeats": ("ord",), "sale_repeats": ("ord", "det", "usr", "snap"),
+    "startup_zone": ("ev", "startup"), "dau": ("ev", "startup"), "sale": ("ord", "det"), "snap": ("usr",),
     "sale_user": ("ord", "det", "sale", "usr", "snap"), "alert": ("ev", "logev"),
 }
 
@@ -143,6 +192,34 @@ def all_sql() -> dict[str, str]:
     found = _sql("SELECT * FROM alert", "alert")
     orders = _sql(f"SELECT {_MASKED} FROM ord", "ord")
     snapshot = _sql("SELECT * FROM snap", "snap")
+    routed = _sql(
+    """SELECT 'order_info' AS topic,
+              json_object('id', id, 'province_id', province_id, 'consignee', consignee,
+                'consignee_tel', consignee_tel, 'order_status', order_status,
+                'payment_way', payment_way, 'user_id', user_id,
+                'total_amount', total_amount::VARCHAR, 'create_time', create_time)::VARCHAR AS value
+       FROM ord WHERE id::BIGINT % 11 <> 0 AND id::BIGINT % 5 NOT IN (0, 1)
+       UNION ALL
+       SELECT 'order_detail', json_object('id', id, 'order_id', order_id,
+                'sku_name', sku_name, 'sku_id', sku_id, 'order_price', order_price,
+                'sku_num', sku_num)::VARCHAR FROM det
+       UNION ALL
+       SELECT 'user_info', json_object('id', id, 'login_name', login_name,
+                'user_level', user_level, 'birthday', birthday, 'gender', gender)::VARCHAR
+       FROM usr""",
+    "ord", "det", "usr",
+)
+    total = _sql(
+        f"""SELECT '[{{"id":"dau","name":"新增日活","value":' || count(*)
+                || '}},{{"id":"new_mid","name":"新增设备","value":' || ({_NEW}) || '}}]' AS json
+            FROM dau WHERE log_date = '{DAY}'""",
+        "dau",
+    )
+    hours = _sql(
+        f"""SELECT '{{"yesterday":{{' || coalesce(({_HOURS.format(day=BEFORE)}), '')
+                || '}},"today":{{' || coalesce(({_HOURS.format(day=DAY)}), '') || '}}}}' AS json""",
+        "dau",
+    )
     return {
         "parse_startup": _sql("SELECT * FROM startup", "startup"),
         "parse_event": _sql("SELECT * FROM logev", "logev"),
@@ -155,15 +232,14 @@ def all_sql() -> dict[str, str]:
                FROM usr""",
             "usr",
         ),
-        "bad_rows": """
-            SELECT 'event' AS topic,
-                   CASE event_type WHEN 'error' THEN 'malformed' ELSE 'missing key' END AS reason,
-                   count(*) AS n
-            FROM events WHERE event_type IN ('error', 'view') GROUP BY 2""",
+        "bad_rows": _sql(
+            """SELECT 'event' AS topic, value,
+                      CASE event_type WHEN 'error' THEN 'malformed' ELSE 'missing key' END AS reason
+               FROM damaged WHERE event_type IN ('error', 'view')""",
+            "damaged",
+        ),
         "good_rows": _sql(
-            """SELECT evid, count(*) AS n, max(ts) AS last_ts FROM logev
-               WHERE evid NOT IN ('error', 'view') GROUP BY evid""",
-            "logev",
+            "SELECT * EXCLUDE (log_date, log_hour) FROM logev WHERE evid NOT IN ('error', 'view')", "logev"
         ),
         "mask_phone": _sql(
             "SELECT id, substr(consignee_tel, 1, 4) || '*******' AS consignee_tel FROM ord", "ord"
@@ -175,39 +251,21 @@ def all_sql() -> dict[str, str]:
                FROM rawlog""",
             "rawlog",
         ),
-        "rejected_logs": """
-            SELECT 'event' AS topic, count(*) AS n FROM events WHERE event_type = 'error'""",
-        "cdc_route": _sql(
-            """SELECT 'order_info' AS topic,
-                      json_object('id', id, 'province_id', province_id, 'consignee', consignee,
-                        'consignee_tel', consignee_tel, 'order_status', order_status,
-                        'payment_way', payment_way, 'user_id', user_id,
-                        'total_amount', total_amount::VARCHAR, 'create_time', create_time)::VARCHAR AS value
-               FROM ord WHERE id::BIGINT % 11 <> 0 AND id::BIGINT % 5 NOT IN (0, 1)
-               UNION ALL
-               SELECT 'order_detail', json_object('id', id, 'order_id', order_id,
-                        'sku_name', sku_name, 'sku_id', sku_id, 'order_price', order_price,
-                        'sku_num', sku_num)::VARCHAR FROM det
-               UNION ALL
-               SELECT 'user_info', json_object('id', id, 'login_name', login_name,
-                        'user_level', user_level, 'birthday', birthday, 'gender', gender)::VARCHAR
-               FROM usr""",
-            "ord", "det", "usr",
-        ),
-        "cdc_intake": _sql(
-            """SELECT 'order_info' AS topic, count(*) AS n FROM orders
-               WHERE o_orderkey % 11 <> 0 AND o_orderkey % 5 NOT IN (0, 1)
-               UNION ALL SELECT 'order_detail', count(*) FROM lineitem
-               UNION ALL SELECT 'user_info', count(*) FROM usr""",
-            "usr",
+        "rejected_logs": _sql(
+            "SELECT 'event' AS topic, value FROM damaged WHERE event_type = 'error'", "damaged"
         ),
+        "cdc_route": routed,
+        "cdc_intake": routed,
+        "stream_ingest_changes": routed,
+        "bad_changes": _sql("SELECT value, reason FROM broken", "broken"),
         "topic_files": """
             SELECT CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END AS type,
                    CASE WHEN event_type = 'signup' THEN 'mid_' || user_id
                         ELSE (user_id % 10)::VARCHAR END AS mid, epoch_us(ts) // 1000 AS ts
             FROM events""",
-        "log_archive": """
-            SELECT strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS n FROM events GROUP BY 1""",
+        "log_archive": _sql(
+            "SELECT strftime(ts, '%Y-%m-%d') AS log_date, value::VARCHAR AS value FROM rawlog", "rawlog"
+        ),
         "dau_first_start": dau_rows,
         "dau_from_messages": dau_rows,
         "dau_top_n_starts": _sql(
@@ -246,12 +304,8 @@ def all_sql() -> dict[str, str]:
             "dau",
         ),
         "new_devices": _sql(f"SELECT ({_NEW}) AS new_mids", "dau"),
-        "realtime_total": _sql(
-            f"""SELECT '[{{"id":"dau","name":"新增日活","value":' || count(*)
-                    || '}},{{"id":"new_mid","name":"新增设备","value":' || ({_NEW}) || '}}]' AS json
-                FROM dau WHERE log_date = '{DAY}'""",
-            "dau",
-        ),
+        "realtime_total": total,
+        "stored_realtime_total": total,
         "hours_today_yesterday": _sql(
             f"""SELECT coalesce(a.log_hour, b.log_hour) AS log_hour,
                        coalesce(a.n, 0) AS yesterday, coalesce(b.n, 0) AS today
@@ -261,11 +315,8 @@ def all_sql() -> dict[str, str]:
                            GROUP BY log_hour) b ON a.log_hour = b.log_hour""",
             "dau",
         ),
-        "realtime_hours": _sql(
-            f"""SELECT '{{"yesterday":{{' || coalesce(({_HOURS.format(day=BEFORE)}), '')
-                    || '}},"today":{{' || coalesce(({_HOURS.format(day=DAY)}), '') || '}}}}' AS json""",
-            "dau",
-        ),
+        "realtime_hours": hours,
+        "stored_realtime_hours": hours,
         "order_detail_full_outer": _sql(
             """SELECT coalesce(ord.id, order_id) AS order_id, order_status, create_time,
                       create_date AS dt, user_id, det.id AS order_detail_id, sku_id, sku_name,
@@ -299,6 +350,16 @@ def all_sql() -> dict[str, str]:
         "alert_table": found,
         "stream_ingest_logs": dau_rows,
         "stream_dau": dau_rows,
+        "stream_dau_zone": _sql(
+            """SELECT * EXCLUDE (rn, ts_at) FROM (
+                 SELECT *, row_number() OVER (PARTITION BY log_date, mid ORDER BY ts, uid) AS rn
+                 FROM startup_zone) WHERE rn = 1""",
+            "startup_zone",
+        ),
+        "compacted_dau": dau_rows,
+        "order_table_repeats": _sql("SELECT * FROM repeats", "repeats"),
+        "order_table_day": _sql("SELECT * FROM repeats WHERE create_date = '1995-06-15'", "repeats"),
+        "stream_sale_detail_repeats": _sql("SELECT * FROM sale_repeats", "sale_repeats"),
         "stream_order_facts": orders,
         "stream_users": snapshot,
         "stream_sale_detail": sales,

@@ -13,6 +13,7 @@ def sale_details(
     users: DataFrame,
     as_of: Column | str,
     tolerance_seconds: float = sales.TOLERANCE_SECONDS,
+    arrivals: bool = False,
 ) -> DataFrame:
     """Orders joined to their lines and to the latest user record, one row per (order, line).
 
@@ -21,5 +22,5 @@ def sale_details(
     """
     needed = users.select("id", "user_level", "birthday", "gender", "arrival_ts")
     known = sales.enrich_users(orders, sales.user_snapshot(needed), as_of)
-    joined = sales.join_sales(known, details, tolerance_seconds)
+    joined = sales.join_sales(known, details, tolerance_seconds, arrivals)
     return sales.with_document_id(sales.sale_columns(joined))

@@ -15,7 +15,7 @@ from retail_stream import schemas
 from retail_stream.functions import columns as C
 from retail_stream.functions import records
 from retail_stream.operators import alerts, cdc, counts, dedup, routing, sales
-from retail_stream.plans import ingest
+from retail_stream.plans import dashboard, ingest
 from retail_stream.plans import records as record_plans
 from retail_stream.plans.coupon_alert import alerts_from_messages
 from retail_stream.plans.dau import daily_active
@@ -33,6 +33,7 @@ DAY = "2024-01-15"
 BATCH_CUT_MS = 1705320000000  # 2024-01-15 12:00 UTC
 ALERT_WINDOW = "2 hours"
 ALERT_SLIDE = "30 minutes"
+HARD_PARTS = 5  # micro-batches of the replays with repeated, broken or shifted messages
 FAR_AHEAD_MS = 4102444800000  # 2100-01-01 UTC
 
 _QUERIES: dict[str, Query] = {}
@@ -103,13 +104,12 @@ def record_to_json(spark, sf_dir):
 @query
 def bad_rows(spark, sf_dir):
     bad = records.quarantine(given.damaged_logs(spark, sf_dir), schemas.EVENT)
-    return bad.groupBy("topic", "reason").agg(F.count("*").alias("n"))
+    return bad.select("topic", "value", "reason")
 
 
 @query
 def good_rows(spark, sf_dir):
-    good = records.parse(given.damaged_logs(spark, sf_dir), schemas.EVENT)
-    return good.groupBy("evid").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"))
+    return records.parse(given.damaged_logs(spark, sf_dir), schemas.EVENT).drop("arrival_ts")
 
 
 @query
@@ -137,9 +137,7 @@ def stamp_and_route_logs(spark, sf_dir):
 @query
 def rejected_logs(spark, sf_dir):
     raw = given.damaged_logs(spark, sf_dir)
-    return ingest.ingest_logs(raw).rejects.groupBy(C.log_topic("value").alias("topic")).agg(
-        F.count("*").alias("n")
-    )
+    return ingest.ingest_logs(raw).rejects.select(C.log_topic("value").alias("topic"), "value")
 
 
 @query
@@ -147,13 +145,42 @@ def cdc_route(spark, sf_dir):
     return cdc.route_changes(given.changes(spark, sf_dir)).select("topic", "value")
 
 
+CHANGE_PATTERN = r"shop\.(order|user)_.*"
+
+
+def _change_messages(spark, sf_dir) -> DataFrame:
+    fields = [f.name for f in schemas.CHANGE_ENVELOPE.fields]
+    envelopes = given.changes(spark, sf_dir)
+    return envelopes.select(
+        F.lit("changes").alias("topic"), F.to_json(F.struct(*fields)).alias("value"), "arrival_ts"
+    )
+
+
+def _broken_changes(spark, sf_dir) -> DataFrame:
+    """One broken envelope per order, of four kinds."""
+    orders = given.table(spark, sf_dir, "orders")
+    kind, key = F.col("o_orderkey") % 4, F.col("o_orderkey").cast("string")
+    value = (
+        F.when(kind == 0, F.concat(F.lit("oops "), key))
+        .when(kind == 1, F.concat(F.lit('{"entry_type":"ROWDATA","table_name":"'), key))
+        .when(kind == 2, F.concat(F.lit('{"table_name":"'), key, F.lit('"}')))
+        .otherwise(F.concat(F.lit('{"entry_type":"ROWDATA","table_name":"'), key, F.lit('"}')))
+    )
+    at = F.col("o_orderdate").cast("timestamp").alias("arrival_ts")
+    return orders.select(F.lit("changes").alias("topic"), value.alias("value"), at)
+
+
 @query
 def cdc_intake(spark, sf_dir):
-    envelopes = given.changes(spark, sf_dir)
-    fields = [f.name for f in schemas.CHANGE_ENVELOPE.fields]
-    raw = envelopes.select(F.to_json(F.struct(*fields)).alias("value"), "arrival_ts")
-    routed = ingest.ingest_changes(raw, r"shop\.(order|user)_.*")
-    return routed.groupBy("topic").agg(F.count("*").alias("n"))
+    raw = _change_messages(spark, sf_dir).drop("topic")
+    return ingest.ingest_changes(raw, CHANGE_PATTERN).select("topic", "value")
+
+
+@query
+def bad_changes(spark, sf_dir):
+    """Broken envelopes among good ones: the value and what is wrong with it."""
+    raw = _change_messages(spark, sf_dir).unionByName(_broken_changes(spark, sf_dir)).drop("topic")
+    return sources.quarantine_changes(raw).select("value", "reason")
 
 
 @query
@@ -173,7 +200,7 @@ def log_archive(spark, sf_dir):
     path = scratch_dir(spark, "archive")
     raw = given.raw_logs(spark, sf_dir).select("value", "arrival_ts")
     topics.archive_logs(routing.route_logs(raw), path)
-    return topics.read_archive(spark, path).groupBy("log_date").agg(F.count("*").alias("n"))
+    return topics.read_archive(spark, path)
 
 
 # --- daily active devices --------------------------------------------------------------------
@@ -303,14 +330,53 @@ def order_table(spark, sf_dir):
     path = scratch_dir(spark, "orders")
     raw = _messages(given.order_payload(spark, sf_dir), schemas.ORDER)
     tables.write_table(record_plans.orders(raw), tables.ORDERS, path)
-    return tables.read_table(spark, tables.ORDERS, path)
+    return tables.read_table(spark, tables.ORDERS, path).drop("arrival_ts")
+
+
+REPEATED_DAY = "1995-06-15"
+
+
+def _repeated_orders(spark, sf_dir) -> str:
+    """A table of orders of which a third was delivered again 100 s later, half of them in the same
+    batch, with another status, and a third of those with a day three days on."""
+    path = scratch_dir(spark, "orders-repeats")
+    first = given.order_payload(spark, sf_dir)
+    key = F.col("id").cast("bigint")
+    moved = F.date_format(
+        F.to_timestamp("create_time") + F.expr("INTERVAL 3 DAYS"), "yyyy-MM-dd HH:mm:ss"
+    )
+    again = first.filter(key % 3 == 0).withColumns({
+        "order_status": F.lit("A again"),
+        "create_time": F.when(key % 9 == 0, moved).otherwise(F.col("create_time")),
+        "arrival_ts": F.col("arrival_ts") + F.expr("INTERVAL 100 SECONDS"),
+    })
+    batches = (first.unionByName(again.filter(key % 6 == 0)), again.filter(key % 6 == 3))
+    for number, batch in enumerate(batches):
+        rows = record_plans.orders(_messages(batch, schemas.ORDER))
+        tables.write_batch(rows, tables.ORDERS, path, number)
+    return path
+
+
+@query
+def order_table_repeats(spark, sf_dir):
+    return tables.read_table(spark, tables.ORDERS, _repeated_orders(spark, sf_dir)).drop("arrival_ts")
+
+
+@query
+def order_table_day(spark, sf_dir):
+    path = _repeated_orders(spark, sf_dir)
+    return tables.read_table(spark, tables.ORDERS, path, days=[REPEATED_DAY]).drop("arrival_ts")
 
 
 @query
 def sale_table(spark, sf_dir):
     path = scratch_dir(spark, "sales")
-    tables.write_table(sale_detail(spark, sf_dir), tables.SALES, path)
-    return tables.read_table(spark, tables.SALES, path)
+    found = sale_details(
+        given.orders(spark, sf_dir), given.details(spark, sf_dir), given.users(spark, sf_dir), given.AS_OF,
+        arrivals=True,
+    )
+    tables.write_table(found, tables.SALES, path)
+    return tables.read_table(spark, tables.SALES, path).drop(*sales.ARRIVALS)
 
 
 # --- alerts ----------------------------------------------------------------------------------
@@ -364,7 +430,27 @@ def stream_ingest_logs(spark, sf_dir):
 
 
 @query
-def stream_dau(spark, sf_dir):
+def stream_ingest_changes(spark, sf_dir):
+    """Changes, broken ones among them, through the intake job: what is on the topics."""
+    path = scratch_dir(spark, "stream-changes")
+    raw = _change_messages(spark, sf_dir).unionByName(_broken_changes(spark, sf_dir))
+
+    def start():
+        changes = sources.read_messages(spark, "changes", "json", {"path": f"{path}/raw"})
+        return jobs.stream_ingest_changes(
+            changes, _json(path), f"{path}/rejects", f"{path}/checkpoint", CHANGE_PATTERN, fmt="json",
+            trigger=jobs.AVAILABLE_NOW,
+        )
+
+    replay(raw, f"{path}/raw", start, HARD_PARTS)
+    read = [
+        sources.read_topic(spark, t, "json", _json(path), streaming=False).select(F.lit(t.name).alias("topic"), "value")
+        for t in (schemas.ORDER, schemas.DETAIL, schemas.USER)
+    ]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
+def _dau_by_stream(spark, sf_dir, parts: int) -> str:
     path = scratch_dir(spark, "stream-dau")
     messages = _messages(given.startup_payload(spark, sf_dir), schemas.STARTUP)
 
@@ -372,8 +458,48 @@ def stream_dau(spark, sf_dir):
         raw = sources.read_topic(spark, schemas.STARTUP, "json", _json(path))
         return jobs.stream_dau(raw, f"{path}/dau", f"{path}/checkpoint", jobs.AVAILABLE_NOW)
 
-    replay(messages, f"{path}/topics", start)
-    return tables.read_table(spark, tables.DAU, f"{path}/dau")
+    replay(messages, f"{path}/topics", start, parts)
+    return f"{path}/dau"
+
+
+@query
+def stream_dau(spark, sf_dir):
+    return tables.read_table(spark, tables.DAU, _dau_by_stream(spark, sf_dir, 2))
+
+
+@query
+def stream_dau_zone(spark, sf_dir):
+    """Every stored row of the job, days and hours of a zone eight hours ahead."""
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        path = _dau_by_stream(spark, sf_dir, HARD_PARTS)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return tables.read_table(spark, tables.DAU, path)
+
+
+@query
+def stored_realtime_total(spark, sf_dir):
+    return dashboard.realtime_total(spark, _dau_by_stream(spark, sf_dir, 2), DAY)
+
+
+@query
+def stored_realtime_hours(spark, sf_dir):
+    return dashboard.realtime_hours(spark, _dau_by_stream(spark, sf_dir, 2), "dau", DAY)
+
+
+@query
+def compacted_dau(spark, sf_dir):
+    """Earlier batches compacted, later ones read beside the base."""
+    path, base = scratch_dir(spark, "dau"), scratch_dir(spark, "dau-base")
+    logs = given.startup_logs(spark, sf_dir)
+    last = None
+    for number in range(4):
+        part = dedup.first_starts(logs.filter(F.pmod(F.col("ts"), F.lit(4)) == number))
+        tables.write_batch(part, tables.DAU, path, number)
+        if number == 2:
+            last = tables.compact_table(spark, tables.DAU, path, base)
+    return tables.read_compacted(spark, tables.DAU, base, path, last)
 
 
 @query
@@ -388,7 +514,7 @@ def stream_order_facts(spark, sf_dir):
         )
 
     replay(messages, f"{path}/topics", start)
-    return tables.read_table(spark, tables.ORDERS, f"{path}/orders")
+    return tables.read_table(spark, tables.ORDERS, f"{path}/orders").drop("arrival_ts")
 
 
 @query
@@ -404,12 +530,11 @@ def stream_users(spark, sf_dir):
     return tables.read_table(spark, tables.USERS, f"{path}/users").drop("arrival_ts")
 
 
-@query
-def stream_sale_detail(spark, sf_dir):
+def _sales_by_stream(spark, sf_dir, orders: DataFrame, parts: int) -> DataFrame:
     path = scratch_dir(spark, "stream-sales")
     users = sales.user_snapshot(given.users(spark, sf_dir))
     tables.write_table(users, tables.USERS, f"{path}/users")
-    orders = _messages(given.order_payload(spark, sf_dir), schemas.ORDER)
+    orders = _messages(orders, schemas.ORDER)
     messages = orders.unionByName(_messages(given.details(spark, sf_dir), schemas.DETAIL))
 
     def start():
@@ -420,8 +545,23 @@ def stream_sale_detail(spark, sf_dir):
             as_of=given.AS_OF, trigger=jobs.AVAILABLE_NOW,
         )
 
-    replay(messages, f"{path}/topics", start, bounds=arrival_bounds(orders))
-    return tables.read_table(spark, tables.SALES, f"{path}/sales")
+    replay(messages, f"{path}/topics", start, bounds=arrival_bounds(orders, parts))
+    return tables.read_table(spark, tables.SALES, f"{path}/sales").drop(*sales.ARRIVALS)
+
+
+@query
+def stream_sale_detail(spark, sf_dir):
+    return _sales_by_stream(spark, sf_dir, given.order_payload(spark, sf_dir), 2)
+
+
+@query
+def stream_sale_detail_repeats(spark, sf_dir):
+    """A third of the orders is delivered twice, the second time 100 s later with another status."""
+    orders = given.order_payload(spark, sf_dir)
+    again = orders.filter(F.col("id").cast("bigint") % 3 == 0).withColumns(
+        {"order_status": F.lit("A again"), "arrival_ts": F.col("arrival_ts") + F.expr("INTERVAL 100 SECONDS")}
+    )
+    return _sales_by_stream(spark, sf_dir, orders.unionByName(again), HARD_PARTS)
 
 
 @query

@@ -136,6 +136,9 @@ TOPICS: dict[str, Topic] = {t.name: t for t in (STARTUP, EVENT, ORDER, DETAIL, U
 
 _CELL = struct((("name", "string"), ("value", "string")))
 _CHANGED_ROW = T.StructType([T.StructField("after", T.ArrayType(_CELL))])
+# Fixed value: the entry type of a changed row.
+ROW_ENTRY = "ROWDATA"
+
 CHANGE_ENVELOPE = T.StructType(
     [
         T.StructField("entry_type", T.StringType()),

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from retail_stream import schemas
 
 EMPTY_BATCH = -1
-# Files per folder and micro-batch; raise it where a batch brings more than some hundred MB.
-FILES = 4
+# Rows a micro-batch puts into one file; a folder gets as many files as its rows need.
+ROWS_PER_FILE = 500_000
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,8 @@ DAU = Table(
 )
 ORDERS = Table(
     "order_info", ("id",), "create_date", "create_month",
-    _typed(schemas.ORDER_COLUMNS, {"total_amount": "double"}), ("batch_id",), "last",
+    (*_typed(schemas.ORDER_COLUMNS, {"total_amount": "double"}), ("arrival_ts", "timestamp")),
+    ("arrival_ts", "batch_id"), "last",
 )
 USERS = Table(
     "user_info", ("id",), None, None,
@@ -67,8 +68,11 @@ USERS = Table(
 )
 SALES = Table(
     "sale_detail", ("order_id", "order_detail_id"), "dt", "month",
-    (*_typed(schemas.SALE_COLUMNS, {"user_age": "int", "sku_price": "double"}), ("doc_id", "string")),
-    ("batch_id",), "first",
+    (
+        *_typed(schemas.SALE_COLUMNS, {"user_age": "int", "sku_price": "double"}), ("doc_id", "string"),
+        ("order_arrival", "timestamp"), ("detail_arrival", "timestamp"),
+    ),
+    ("order_arrival", "detail_arrival", "batch_id"), "first",
 )
 ALERTS = Table(
     "coupon_alert", ("mid", "ts"), None, None,
@@ -106,28 +110,41 @@ def _write(placed: DataFrame, table: Table, path: str, batch_id: int) -> None:
     writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def _dealt(placed: DataFrame, table: Table, rows_per_file: int) -> DataFrame:
+    """Rows dealt so that a folder gets one file for each ``rows_per_file`` rows it has, without an
+    upper limit. Only the folders' names and counts come to the driver."""
+    files = lambda n: max(1, -(-n // rows_per_file))
+    if not table.folder:
+        return placed.repartition(files(placed.count()))
+    counts = {r[0]: files(r[1]) for r in placed.groupBy(table.folder).count().collect()}
+    named = [F.lit(x) for k, n in counts.items() if k is not None for x in (k, n)]
+    n = F.coalesce(F.create_map(*named)[F.col(table.folder)], F.lit(counts.get(None, 1))) if named else F.lit(
+        counts.get(None, 1)
+    )
+    part = F.pmod(F.xxhash64(*(table.key or table.fields)), n.cast("bigint"))
+    return placed.repartition(max(1, sum(counts.values())), table.folder, part)
+
+
 def write_batch(
-    rows: DataFrame, table: Table, path: str, batch_id: int, files: int = FILES
+    rows: DataFrame, table: Table, path: str, batch_id: int, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """Write one micro-batch's rows, replacing an earlier attempt of the same batch.
 
-    A folder gets at most ``files`` files per batch. Without that bound each state partition would
-    leave one in every folder, and short triggers would soon make millions.
+    Writers follow the rows: one for a small batch, so that short triggers do not make millions of
+    files, as many as needed for a backlog. The rows are computed once.
     """
-    placed = _placed(rows, table)
-    if table.folder:
-        part = F.pmod(F.xxhash64(*(table.key or table.fields)), F.lit(files))
-        placed = placed.repartition(table.folder, part)
-    else:
-        placed = placed.repartition(files)
-    _write(placed, table, path, batch_id)
+    placed = _placed(rows, table).persist()
+    try:
+        _write(_dealt(placed, table, rows_per_file), table, path, batch_id)
+    finally:
+        placed.unpersist()
 
 
 def batch_writer(
-    table: Table, path: str, files: int = FILES
+    table: Table, path: str, rows_per_file: int = ROWS_PER_FILE
 ) -> Callable[[DataFrame, int], None]:
     """``write_batch`` in the form ``foreachBatch`` takes."""
-    return lambda rows, batch_id: write_batch(rows, table, path, batch_id, files)
+    return lambda rows, batch_id: write_batch(rows, table, path, batch_id, rows_per_file)
 
 
 def write_table(rows: DataFrame, table: Table, path: str, batch_id: int = 0) -> None:
@@ -159,10 +176,18 @@ def one_per_key(rows: DataFrame, table: Table, columns: Sequence[str] | None = N
     return one.select(*[n if n in table.key else f"row.{n}" for n in wanted])
 
 
+def _of_days(rows: DataFrame, table: Table, days: list[str]) -> DataFrame:
+    rows = rows.filter(F.col(table.day).isin(*days))
+    if table.folder != table.day:
+        rows = rows.filter(F.col(table.folder).isin(*sorted({d[:7] for d in days})))
+    return rows
+
+
 def read_rows(
-    spark: SparkSession, table: Table, *paths: str, days: list[str] | None = None
+    spark: SparkSession, table: Table, *paths: str, days: list[str] | None = None, after: int | None = None
 ) -> DataFrame:
-    """All written rows with their ``batch_id``, keys possibly repeated; on request of some days only."""
+    """All written rows with their ``batch_id``, keys possibly repeated; on request of some days or of
+    batches after a number only, whose folders alone are then read."""
     extra = [T.StructField("batch_id", T.LongType())]
     if table.folder and table.folder not in table.fields:
         extra.append(T.StructField(table.folder, T.StringType()))
@@ -171,12 +196,28 @@ def read_rows(
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)
+    if after is not None:
+        rows = rows.filter(F.col("batch_id") > after)
+    return rows if days is None else _of_days(rows, table, days)
+
+
+def present(
+    rows: DataFrame, table: Table, days: list[str] | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per key of written rows, on request of some days.
+
+    Where the day is no part of the key, a key's row may have moved to another day: all rows of the
+    keys that were ever on the days are reduced, and then those on the days stay.
+    """
     if days is None:
-        return rows
-    rows = rows.filter(F.col(table.day).isin(*days))
-    if table.folder != table.day:
-        rows = rows.filter(F.col(table.folder).isin(*sorted({d[:7] for d in days})))
-    return rows
+        return one_per_key(rows, table, columns)
+    some = _of_days(rows, table, days)
+    if table.day in table.key:
+        return one_per_key(some, table, columns)
+    wanted = rows.join(some.select(*table.key).distinct(), list(table.key), "left_semi")
+    kept = None if columns is None else [*dict.fromkeys([*columns, table.day])]
+    one = one_per_key(wanted, table, kept).filter(F.col(table.day).isin(*days))
+    return one if columns is None else one.select(*table.key, *columns)
 
 
 def read_table(
@@ -187,14 +228,27 @@ def read_table(
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key over one or several paths, on request of some days or columns only."""
-    return one_per_key(read_rows(spark, table, *paths, days=days), table, columns)
+    return present(read_rows(spark, table, *paths), table, days, columns)
 
 
-def compact_table(spark: SparkSession, table: Table, path: str, target: str) -> None:
-    """Write the present rows of ``path`` once per key to a new path, in few large files.
+def compact_table(spark: SparkSession, table: Table, path: str, base: str) -> int:
+    """Write the present rows of ``path`` once per key to ``base``, in few large files, and give the
+    number of the last batch they hold. A writer may go on meanwhile: its later batches stay out.
 
-    Read both paths together afterwards; rows present in both count once.
+    ``read_compacted`` then reads the base and only later batches, so the folders up to that number
+    may be removed at leisure.
     """
     rows = read_rows(spark, table, path)
     last = rows.agg(F.max("batch_id")).first()[0]
-    write_table(one_per_key(rows, table), table, target, EMPTY_BATCH if last is None else last)
+    last = EMPTY_BATCH if last is None else last
+    write_table(one_per_key(rows.filter(F.col("batch_id") <= last), table), table, base, last)
+    return last
+
+
+def read_compacted(
+    spark: SparkSession, table: Table, base: str, path: str, last: int,
+    days: list[str] | None = None, columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per key of a base that holds batches up to ``last``, and the batches after it."""
+    rows = read_rows(spark, table, base).unionByName(read_rows(spark, table, path, after=last))
+    return present(rows, table, days, columns)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,24 @@ from pyspark.sql import functions as F
 from retail_stream.sources.topics import TIME_OPTIONS
 
 
+# Rows of a batch that go into one file of each folder.
+ROWS_PER_FILE = 500_000
+
+
+@contextmanager
+def _in_few_files(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows in as many tasks as they need files, so that a short trigger does not leave a file per
+    task and folder. They are computed once; rows the caller keeps are not dropped."""
+    own = not rows.is_cached
+    if own:
+        rows.persist()
+    try:
+        yield rows.repartition(max(1, -(-rows.count() // ROWS_PER_FILE)))
+    finally:
+        if own:
+            rows.unpersist()
+
+
 def write_topics(
     messages: DataFrame,
     fmt: str = "kafka",
@@ -28,26 +47,28 @@ def write_topics(
     if fmt != "json":
         raise ValueError(f"unknown message format: {fmt!r}")
     path = options.pop("path")
-    (
-        messages.select("topic", F.lit(batch_id).alias("batch_id"), "value", "arrival_ts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**TIME_OPTIONS)
-        .options(**options)
-        .partitionBy("topic", "batch_id")
-        .json(path)
-    )
+    with _in_few_files(messages.select("topic", "value", "arrival_ts")) as few:
+        (
+            few.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**TIME_OPTIONS)
+            .options(**options)
+            .partitionBy("topic", "batch_id")
+            .json(path)
+        )
 
 
 def archive_logs(messages: DataFrame, path: str, batch_id: int = 0) -> None:
     """Every stamped log as one JSON line in a folder per day and batch."""
-    (
-        messages.select("log_date", F.lit(batch_id).alias("batch_id"), "value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("log_date", "batch_id")
-        .text(path)
-    )
+    with _in_few_files(messages.select("log_date", "value")) as few:
+        (
+            few.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("log_date", "batch_id")
+            .text(path)
+        )
 
 
 def read_archive(spark, path: str, date: str | None = None) -> DataFrame:

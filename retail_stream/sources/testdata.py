@@ -11,22 +11,9 @@ from retail_stream.functions import records
 AS_OF = "2024-01-01"
 
 
-# Columns that spread a table's rows evenly.
-SPREAD_BY = {
-    "events": ("event_id",),
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One that comes in fewer splits than there are cores - a single small file - is
-    spread over all cores before the per-row work; a table of many splits is left as it is."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores, *SPREAD_BY[name])
-    return rows
+    """A given table, in the splits its files give."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

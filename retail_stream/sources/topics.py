@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from retail_stream.schemas import CHANGE_ENVELOPE, Topic, full_name
+from retail_stream.schemas import CHANGE_ENVELOPE, ROW_ENTRY, Topic, full_name
 
 MESSAGE = "value string, arrival_ts timestamp"
 # Keeps microseconds, which the default JSON timestamp format cuts.
@@ -59,11 +60,31 @@ def read_raw_logs(spark: SparkSession, path: str, streaming: bool = False) -> Da
     return read_messages(spark, "logs", "text", {"path": path}, streaming)
 
 
+def _decoded(raw: DataFrame) -> DataFrame:
+    """Envelopes beside their text, and what is wrong with those that cannot be used."""
+    rest = [c for c in raw.columns if c == "arrival_ts"]
+    schema = T.StructType([*CHANGE_ENVELOPE.fields, T.StructField("_corrupt_record", T.StringType())])
+    rows = raw.select("value", *rest, F.inline(F.array(F.from_json("value", schema))))
+    nothing = F.col("value").isNull() | (F.trim("value") == "") | F.col("_corrupt_record").isNotNull()
+    reason = (
+        F.when(nothing, F.lit("malformed"))
+        .when(F.col("entry_type").isNull(), F.lit("missing key"))
+        .when((F.col("entry_type") == ROW_ENTRY) & F.col("rows").isNull(), F.lit("no rows"))
+    )
+    return rows.withColumn("reason", reason).drop("_corrupt_record")
+
+
 def parse_changes(raw: DataFrame) -> DataFrame:
-    """Database changes from messages that hold one JSON envelope each; unreadable ones are left out."""
+    """Database changes from messages that hold one JSON envelope each; ``quarantine_changes`` has the
+    others."""
+    return _decoded(raw).filter(F.col("reason").isNull()).drop("value", "reason")
+
+
+def quarantine_changes(raw: DataFrame) -> DataFrame:
+    """The messages ``parse_changes`` leaves out: ``topic``, ``value``, ``reason``, maybe ``arrival_ts``."""
     rest = [c for c in raw.columns if c == "arrival_ts"]
-    envelope = F.inline(F.array(F.from_json("value", CHANGE_ENVELOPE)))
-    return raw.select(*rest, envelope).filter(F.col("entry_type").isNotNull())
+    bad = _decoded(raw).filter(F.col("reason").isNotNull())
+    return bad.select(F.lit("changes").alias("topic"), "value", "reason", *rest)
 
 
 def read_changes(

@@ -7,6 +7,8 @@ stopped, killed or loses executors goes on from its checkpoint with the same res
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ from retail_stream.functions import records as parsing
 from retail_stream.operators import alerts, sales
 from retail_stream.plans import ingest, records
 from retail_stream.sinks import tables, topics
+from retail_stream.sources import topics as sources
 from retail_stream.streaming import operators
 
 Trigger = dict[str, Any]
@@ -29,9 +32,6 @@ EVERY_3_SECONDS: Trigger = {"processingTime": "3 seconds"}
 
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
-# A micro-batch's distinct user ids are broadcast up to this many: about 64 bytes each, 32 MB.
-MAX_BROADCAST_IDS = 500_000
-
 
 def _start(
     rows: DataFrame,
@@ -79,18 +79,24 @@ def stream_ingest_logs(
 def stream_ingest_changes(
     raw: DataFrame,
     topic_options: dict[str, str],
+    rejects_path: str,
     checkpoint: str,
     pattern: str = ".*",
     fmt: str = "kafka",
     prefix: str = "",
     trigger: Trigger = EVERY_3_SECONDS,
 ) -> StreamingQuery:
-    """Database changes to topics."""
+    """Database changes to topics, and messages that hold none to the rejects."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        topics.write_topics(batch, fmt, topic_options, batch_id)
+        batch = batch.persist()
+        try:
+            topics.write_topics(ingest.ingest_changes(batch, pattern, prefix), fmt, topic_options, batch_id)
+            tables.write_batch(sources.quarantine_changes(batch), tables.REJECTS, rejects_path, batch_id)
+        finally:
+            batch.unpersist()
 
-    return _start(ingest.ingest_changes(raw, pattern, prefix), write, checkpoint, trigger)
+    return _start(raw, write, checkpoint, trigger)
 
 
 def stream_rejects(
@@ -112,12 +118,31 @@ def stream_dau(
     checkpoint: str,
     trigger: Trigger = EVERY_5_SECONDS,
     delay: str = "10 minutes",
-    day_offset: str = "0 hours",
-    files: int = tables.FILES,
+    rows_per_file: int = tables.ROWS_PER_FILE,
 ) -> StreamingQuery:
-    """Start messages to the table of daily active devices."""
-    first = operators.first_starts(records.startup_logs(raw), delay, day_offset)
-    return _start(first, tables.batch_writer(tables.DAU, path, files), checkpoint, trigger, "update")
+    """Start messages to the table of daily active devices.
+
+    Update mode gives every device that a batch mentions. Only those whose first start is new or
+    earlier than stored are written, so the table grows with devices and not with starts. The batch's
+    own folder is not looked at: a repeated batch writes the same rows again.
+    """
+    spark = raw.sparkSession
+    tables.create_table(spark, tables.DAU, path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            days = [r[0] for r in batch.select("log_date").distinct().collect() if r[0] is not None]
+            stored = tables.read_rows(spark, tables.DAU, path, days=days).filter(F.col("batch_id") != batch_id)
+            same = ["log_date", "mid", "ts", "uid"]
+            known = stored.select(*[F.col(c).alias(f"s_{c}") for c in same])
+            equal = reduce(and_, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in same])
+            tables.write_batch(batch.join(known, equal, "left_anti"), tables.DAU, path, batch_id, rows_per_file)
+        finally:
+            batch.unpersist()
+
+    first = operators.first_starts(records.startup_logs(raw), delay)
+    return _start(first, write, checkpoint, trigger, "update")
 
 
 def stream_order_facts(
@@ -125,11 +150,11 @@ def stream_order_facts(
     path: str,
     checkpoint: str,
     trigger: Trigger = EVERY_3_SECONDS,
-    files: int = tables.FILES,
+    rows_per_file: int = tables.ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Order messages to the order table."""
     return _start(
-        records.orders(raw), tables.batch_writer(tables.ORDERS, path, files), checkpoint, trigger
+        records.orders(raw), tables.batch_writer(tables.ORDERS, path, rows_per_file), checkpoint, trigger
     )
 
 
@@ -144,15 +169,6 @@ def stream_users(
     return _start(records.users(raw), write, checkpoint, trigger)
 
 
-def _users_of(batch: DataFrame, users: DataFrame) -> DataFrame:
-    """The records of the users a batch mentions. Few ids, counted, are broadcast: the user table is
-    then filtered where it is read and never shuffled. More ids take a shuffle join."""
-    ids = batch.select(F.col("user_id").alias("id")).distinct()
-    if ids.count() <= MAX_BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return users.join(ids, "id", "left_semi")
-
-
 def stream_sale_detail(
     spark: SparkSession,
     raw_orders: DataFrame,
@@ -165,29 +181,37 @@ def stream_sale_detail(
     tolerance_seconds: int = sales.TOLERANCE_SECONDS,
     delay: str = "10 seconds",
     salts: int = 4,
-    files: int = tables.FILES,
+    rows_per_file: int = tables.ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Order and line messages to the sale table, with the user table as it is at each batch.
 
+    Of repeated deliveries the table keeps the one the batch form keeps, whatever batch it came in.
+
     ``as_of`` is the day ages are counted to, by default the day of the batch.
     """
     pairs = operators.join_sales(
         records.orders(raw_orders), records.details(raw_details), tolerance_seconds, delay, salts
     )
-    once = operators.one_sale_each(pairs)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        once = sales.one_sale_each(batch).persist()
         try:
-            stored = tables.read_rows(spark, tables.USERS, users_path)
-            users = tables.one_per_key(_users_of(batch, stored), tables.USERS)
-            day = F.current_date() if as_of is None else as_of
-            rows = sales.with_document_id(sales.enrich_users(batch, users, day))
-            tables.write_batch(rows, tables.SALES, path, batch_id, files)
+            # A batch that only ends state has nothing to look up. The count also gives Spark the size
+            # of the ids: by its own threshold they are broadcast to the scan of the users, or shuffled.
+            if once.count():
+                stored = tables.read_rows(spark, tables.USERS, users_path)
+                ids = once.select(F.col("user_id").alias("id")).distinct()
+                users = tables.one_per_key(stored.join(ids, "id", "left_semi"), tables.USERS)
+                day = F.current_date() if as_of is None else as_of
+                rows = sales.enrich_users(once, users, day)
+            else:
+                rows = once.withColumns({"user_gender": nothing, "user_age": F.lit(0), "user_level": nothing})
+            tables.write_batch(sales.with_document_id(rows), tables.SALES, path, batch_id, rows_per_file)
         finally:
-            batch.unpersist()
+            once.unpersist()
 
-    return _start(once, write, checkpoint, trigger)
+    nothing = F.lit(None).cast("string")
+    return _start(pairs, write, checkpoint, trigger)
 
 
 def stream_coupon_alert(

@@ -89,12 +89,26 @@ def test_dau_state_ends_with_the_day(spark):
     assert bus.table(tables.DAU).count() == 2
 
 
-def test_day_offset(spark):
-    logs = starts(spark, ("m", "u", DAY - 3_600_000), ("m", "v", DAY + 3_600_000))
+def test_days_follow_the_session_zone(spark, settings):
+    """18:00 and 04:00 of the next day in Shanghai lie in one day of UTC."""
+    settings(spark__sql__session__timeZone="Asia/Shanghai")
+    hour = 3_600_000
+    logs = starts(spark, ("m", "u", DAY + 10 * hour), ("m", "v", DAY + 20 * hour), ("m", "w", DAY + 15 * hour))
     bus = Bus(spark, "dau4")
-    bus.send(logs)
-    bus.run(jobs.stream_dau, bus.read(schemas.STARTUP), day_offset="16 hours")
-    assert [r.uid for r in bus.table(tables.DAU).collect()] == ["u"]
+    for part in (logs.filter("value like '%\"u\"%'"), logs.filter("value not like '%\"u\"%'")):
+        bus.send(part)
+        bus.run(jobs.stream_dau, bus.read(schemas.STARTUP))
+    rows = sorted((r.log_date, r.uid) for r in bus.table(tables.DAU).collect())
+    assert rows == [("2024-01-01", "u"), ("2024-01-02", "v")]
+    assert sorted(rows) == sorted((r.log_date, r.uid) for r in daily_active(logs).collect())
+
+
+def test_a_device_is_stored_once_a_day(spark):
+    bus = Bus(spark, "dau5")
+    for ts in (10, 20, 30, 40):
+        bus.send(starts(spark, ("m", "u", DAY + ts), ("n", "u", DAY + 50)))
+        bus.run(jobs.stream_dau, bus.read(schemas.STARTUP))
+    assert tables.read_rows(spark, tables.DAU, f"{bus.path}/out").count() == 2
 
 
 def events(spark, *rows):
@@ -272,18 +286,35 @@ def test_log_and_change_intake(spark):
         '{"entry_type":"ROWDATA","schema_name":"s","table_name":"user_info","event_type":"UPDATE",'
         '"rows":[{"after":[{"name":"id","value":"5"}]}]}'
     )
+    broken = ("oops", change[:-20], change.replace('[{"after', '5, [{"after'), change.split(',"rows"')[0] + "}")
     bus.send(
-        spark.createDataFrame([(change,)], "value string").select(
+        spark.createDataFrame([(x,) for x in (change, *broken)], "value string").select(
             F.lit("changes").alias("topic"), "value", F.lit(at(0)).alias("arrival_ts")
         )
     )
     feed = sources.read_messages(spark, "changes", "json", {"path": f"{bus.path}/topics"})
     jobs.stream_ingest_changes(
-        feed, made, f"{bus.path}/changes-checkpoint", fmt="json", trigger=jobs.AVAILABLE_NOW
+        feed, made, f"{bus.path}/bad-changes", f"{bus.path}/changes-checkpoint", fmt="json",
+        trigger=jobs.AVAILABLE_NOW,
     ).awaitTermination()
     assert [r.value for r in sources.read_topic(spark, "user_info", "json", made, False).collect()] == [
         '{"id":"5"}'
     ]
+    bad = tables.read_table(spark, tables.REJECTS, f"{bus.path}/bad-changes").collect()
+    assert sorted((r.value, r.reason) for r in bad) == sorted(zip(broken, ["malformed"] * 3 + ["no rows"]))
+
+
+def test_repeated_order_gives_the_same_sale_as_the_batch(spark):
+    bus = Bus(spark, "again")
+    people = f"{bus.path}/users"
+    tables.create_table(spark, tables.USERS, people)
+    for order in (("1", "NEW", 5), ("1", "OLD", 0)):
+        bus.send(orders(spark, order).unionByName(details(spark, ("1", "a", 3))))
+        jobs.stream_sale_detail(
+            spark, bus.read(schemas.ORDER), bus.read(schemas.DETAIL), people, f"{bus.path}/out",
+            f"{bus.path}/checkpoint", trigger=jobs.AVAILABLE_NOW,
+        ).awaitTermination()
+    assert [r.user_id for r in bus.table(tables.SALES).collect()] == ["OLD"]
 
 
 def test_stream_join_equals_batch_join(spark):
