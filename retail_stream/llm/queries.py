@@ -12,6 +12,7 @@ from retail_stream.llm import (
     decontamination,
     host_rules,
     line_templates,
+    oracle,
     packing,
     perplexity,
     simhash,
@@ -85,4 +86,4 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.all_sql()

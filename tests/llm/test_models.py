@@ -1,0 +1,245 @@
+"""Token counts, packing, the language model and line templates against plain versions of them."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import cases
+from retail_stream.llm import line_templates, packing, perplexity, token_counts
+from retail_stream.llm.common import table
+
+
+@pytest.fixture(params=["given", "hard", "empty"])
+def docs(request):
+    return {"given": cases.documents, "hard": cases.hard_documents, "empty": list}[request.param]()
+
+
+# --- token counts ----------------------------------------------------------------------------
+
+
+def test_token_counts(spark, docs):
+    encoding = token_counts._encoding(token_counts.RANKS)
+    lengths = [len(encoding.encode_ordinary(t or "")) for _, t, *_ in docs]
+    found = token_counts.token_lengths(cases.frame(spark, docs, clash=True))
+    assert sorted(r.n_tokens for r in found.collect()) == sorted(lengths)
+    sums = token_counts.suffix_sums(token_counts.histogram(found)).cache()
+    limits = sorted({0, 1, 7, 100, 10**6, *lengths[:5]})
+    for r in token_counts.answers(sums, limits).collect():
+        from_ = [n for n in lengths if n >= r.limit]
+        assert (r.docs_from, r.tokens_from) == (len(from_), sum(from_))
+        assert r.truncated_tokens == sum(min(n, r.limit) for n in lengths)
+    for r in sums.collect():
+        assert r.n_docs == lengths.count(r.n_tokens)
+        assert r.truncated_tokens == sum(min(n, r.n_tokens) for n in lengths)
+    for r in token_counts.quantiles(sums, [0.1, 0.5, 1.0]).collect():
+        ordered = sorted(lengths)
+        assert r.n_tokens == (ordered[math.ceil(r.share * len(ordered) - 1e-9) - 1] if ordered else None)
+
+
+def test_suffix_sums_over_many_blocks(spark):
+    lengths = [random.Random(3).randrange(100_000) for _ in range(500)]
+    rows = spark.createDataFrame([(n,) for n in lengths], "n_tokens bigint")
+    sums = token_counts.suffix_sums(token_counts.histogram(rows))
+    for r in sums.collect():
+        assert r.tokens_from == sum(n for n in lengths if n >= r.n_tokens)
+
+
+# --- packing ---------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("shard_tokens", [1000, packing.SHARD_TOKENS])
+def test_packing_places_every_token_once(spark, docs, shard_tokens):
+    capacities = (16, 64, 200)
+    placed = packing.best_fit(cases.frame(spark, docs, clash=True), None, capacities, shard_tokens).collect()
+    lengths = sorted(len(cases.WORD.findall(t or "")) + 1 for _, t, *_ in docs)
+    pieces = [r for r in placed if r.bin is not None]
+    starts = defaultdict(list)
+    for r in pieces:
+        starts[r.doc_id].append((r.start, r.n_tokens))
+    assert sum(r.n_tokens for r in pieces) == sum(lengths)
+    assert sum(r.piece == 0 for r in placed) == len(docs)
+    bins = defaultdict(list)
+    for r in pieces:
+        bins[r.shard, r.bin].append(r)
+    for held in bins.values():
+        used = sum(r.n_tokens for r in held)
+        assert {r.capacity for r in held} == {min(c for c in capacities if c >= used)}
+        assert sorted(r.position for r in held) == list(range(len(held)))
+
+
+def test_packing_of_empty_documents(spark):
+    rows = spark.createDataFrame([(1, 0), (2, None), (3, 5)], "doc_id bigint, size bigint")
+    placed = {r.doc_id: r.capacity for r in packing.best_fit(rows, F.col("size"), (8, 16)).collect()}
+    assert placed == {1: None, 2: None, 3: 8}
+
+
+def test_pack_against_every_packing():
+    """Small cases: never below the best of all packings, and close to it."""
+    rng = random.Random(5)
+    capacities = (4, 8, 16)
+
+    def best(lengths):
+        found = [math.inf]
+
+        def place(i, bins):
+            if i == len(lengths):
+                found[0] = min(found[0], sum(packing.cost(min(c for c in capacities if c >= b)) for b in bins))
+                return
+            for j in range(len(bins)):
+                if bins[j] + lengths[i] <= 16:
+                    place(i + 1, bins[:j] + [bins[j] + lengths[i]] + bins[j + 1 :])
+            place(i + 1, [*bins, lengths[i]])
+
+        place(0, [])
+        return found[0]
+
+    for _ in range(30):
+        lengths = [rng.randint(1, 16) for _ in range(6)]
+        plan = packing.pack(lengths, capacities)
+        cost = sum(packing.cost(c) for c in dict((b, c) for b, _, c in plan).values())
+        assert best(lengths) - 1e-9 <= cost <= 1.35 * best(lengths)
+
+
+# --- perplexity ------------------------------------------------------------------------------
+
+
+def kneser_ney(texts):
+    """Interpolated modified Kneser-Ney, straight from its definition: code -> probability."""
+    order, base = perplexity.ORDER, perplexity.SYMBOLS
+    tables = [Counter()]
+    for t in texts:
+        tables[0].update(perplexity.codes(t).tolist())
+    for k in range(order - 1, 0, -1):
+        tables.append(Counter(c % base**k for c in tables[-1]))
+    levels = {}
+    for k, grams in zip(range(order, 0, -1), tables):
+        n = Counter(min(c, 5) for c in grams.values())
+        if all(n[i] for i in (1, 2, 3, 4)):
+            y = n[1] / (n[1] + 2 * n[2])
+            d = {i: max(min(i - (i + 1) * y * n[i + 1] / n[i], i), 0.01) for i in (1, 2, 3)}
+        else:
+            d = {1: 0.5, 2: 1.0, 3: 1.5}
+        total, held = Counter(), Counter()
+        for g, c in grams.items():
+            total[g // base] += c
+            held[g // base] += d[min(c, 3)]
+        levels[k] = grams, d, total, held
+
+    def p(code, k=order):
+        if k == 0:
+            return 1 / base
+        grams, d, total, held = levels[k]
+        below = p(code % base ** (k - 1), k - 1)
+        context = code // base
+        if not total[context]:
+            return below
+        c = grams[code]
+        return ((c - d[min(c, 3)]) if c else 0) / total[context] + held[context] / total[context] * below
+
+    return p
+
+
+def test_model(spark):
+    texts = [t for _, t, *_ in cases.documents()[:30] if t]
+    rows = perplexity.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)).toPandas()
+    logp = perplexity.dense(*(rows[c].to_numpy() for c in ("k", "code", "alpha", "gamma")))
+    p = kneser_ney(texts)
+    seen = perplexity.codes(texts[0]).tolist()[:200]
+    other = np.random.default_rng(2).integers(0, perplexity.SYMBOLS**4, 300).tolist()
+    for code in [*seen, *other]:
+        assert math.isclose(math.exp(logp[code]), p(code), rel_tol=1e-4)
+    for code in (seen[50], other[0]):
+        row = logp[code // 64 * 64 : code // 64 * 64 + 64]
+        assert math.isclose(np.exp(row.astype(float)).sum(), 1, rel_tol=1e-4)
+
+
+def test_held_out_documents(spark):
+    """Labels of half of the documents train; the other half is told apart."""
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    rated = perplexity.classify(docs, labels.filter("doc_id % 2 = 0"))
+    held = rated.join(labels.filter("doc_id % 2 = 1"), "doc_id")
+    rates = {(r.quality, r.toxic): r.k for r in held.groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert rates[1, 0] > 0.995 and rates[0, 0] < 0.15 and rates[1, 1] < 0.9
+
+
+def test_perplexity_edges(spark, docs):
+    labels = spark.createDataFrame([(d[0], 1, 0) for d in docs[:20]] + [(None, 1, None)], "doc_id bigint, quality int, toxic int")
+    found = perplexity.classify(cases.frame(spark, docs, clash=True), labels).collect()
+    assert len(found) == len(docs)
+    assert all(r.kept is False and r.perplexity is None for r in found if r.n_symbols == 1)
+    assert sum(r.n_symbols == 1 for r in found) == sum(not t for _, t, *_ in docs)
+    none = perplexity.classify(cases.frame(spark, docs), labels.limit(0)).collect()
+    assert all(r.kept == (r.n_symbols > 1) for r in none)
+
+
+# --- line templates --------------------------------------------------------------------------
+
+
+def templates(docs, min_docs=line_templates.MIN_DOCS):
+    """doc_id, text left, lines dropped; the definition with dictionaries."""
+    def masked(line):
+        return " ".join(line_templates.FIELD if re.search("[0-9]", w) else w for w in cases.WORD.findall(line))
+
+    rank = lambda d: (d is None, d or 0)
+    seen = defaultdict(set)
+    for d, t, *_ in docs:
+        for line in (t or "").split("\n"):
+            if m := masked(line):
+                seen[m].add(rank(d))
+    leaves = defaultdict(list)
+    for m in seen:
+        w = m.split(" ")
+        leaves[len(w), tuple(w[:3])].append(m)
+    name = {m: m for m in seen}
+    for (n, lead), group in leaves.items():
+        total = sum(len(seen[m]) for m in group)
+        if n < line_templates.MIN_TOKENS or len(group) < 2 or total < min_docs:
+            continue
+        weight = Counter()
+        for m in group:
+            for j, w in enumerate(m.split(" ")):
+                weight[j, w] += len(seen[m])
+        for m in group:
+            equal = sum(2 * weight[j, w] > total for j, w in enumerate(m.split(" ")) if j >= 3)
+            if equal + 3 >= line_templates.SIMILARITY * n:
+                name[m] = (n, lead)
+    members = defaultdict(set)
+    for m, ids in seen.items():
+        members[name[m]] |= ids
+    out = []
+    for d, t, *_ in docs:
+        kept, lines = [], (t or "").split("\n")
+        for line in lines:
+            m = masked(line)
+            ids = members[name[m]] if m else ()
+            if not (len(ids) >= min_docs and min(ids) < rank(d)):
+                kept.append(line)
+        out.append((d, "\n".join(kept) if t is not None else None, len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def log_documents():
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        lines = [f"User u{i} logged in from host {rng.choice('abc')} at 1{i}:00", "Footer of all pages here",
+                 f"plain {rng.random()} line", "", " ".join(rng.choices("lorem ipsum dolor sit amet".split(), k=8)),
+                 f"Page rendered for {rng.choice(['ann', 'bob', 'eve', 'kim'])} in total time ok"]
+        rng.shuffle(lines)
+        rows.append((i if i % 20 else None, "\n".join(lines), None, None, 0))
+    return rows
+
+
+@pytest.mark.parametrize("which", ["given", "hard", "empty", "logs"])
+def test_line_templates(spark, which):
+    docs = {"given": cases.documents, "hard": cases.hard_documents, "empty": list, "logs": log_documents}[which]()
+    found = line_templates.drop_templates(cases.frame(spark, docs, clash=True))
+    expected = templates(docs)
+    assert cases.rows_of(found, "doc_id", "text", "n_dropped") == expected
+    assert which == "empty" or any(n for *_, n in expected)
+    assert "version" in found.columns
