@@ -16,17 +16,19 @@ def _stamp_ms(raw: DataFrame) -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def _stamped(raw: DataFrame) -> DataFrame:
+def stamped(raw: DataFrame) -> DataFrame:
+    """Raw logs with ``stamped``, their text with the server time set, and ``stamp_ms``. ``stamped`` is
+    null where a line holds no JSON object. Parsing happens once, for messages and rejects."""
     parsed = evaluate_once(raw, members=C.json_members("value"), stamp_ms=_stamp_ms(raw))
-    return evaluate_once(parsed, stamped=C.stamped_json("members", F.col("stamp_ms")))
+    return evaluate_once(parsed, stamped=C.stamped_json("members", F.col("stamp_ms"))).withColumn(
+        "usable", F.col("members").isNotNull() & F.col("stamped").isNotNull()
+    ).drop("members")
 
 
-def route_logs(raw: DataFrame, prefix: str = "") -> DataFrame:
-    """Stamp each log with its server time and name its topic: ``topic``, ``value``, ``log_date``
-    and, where the source has it, ``arrival_ts``."""
-    rest = [c for c in raw.columns if c == "arrival_ts"]
-    good = _stamped(raw).filter(F.col("stamped").isNotNull())
-    return good.select(
+def messages(logs: DataFrame, prefix: str = "") -> DataFrame:
+    """Of ``stamped`` logs: ``topic``, ``value``, ``log_date`` and, where present, ``arrival_ts``."""
+    rest = [c for c in logs.columns if c == "arrival_ts"]
+    return logs.filter("usable").select(
         C.log_topic("stamped", prefix).alias("topic"),
         F.col("stamped").alias("value"),
         C.log_date("stamp_ms").alias("log_date"),
@@ -34,8 +36,16 @@ def route_logs(raw: DataFrame, prefix: str = "") -> DataFrame:
     )
 
 
+def rejects(logs: DataFrame) -> DataFrame:
+    """Of ``stamped`` logs: the lines that hold no JSON object."""
+    return logs.filter(~F.col("usable")).select("value", *[c for c in logs.columns if c == "arrival_ts"])
+
+
+def route_logs(raw: DataFrame, prefix: str = "") -> DataFrame:
+    """Stamp each log with its server time and name its topic."""
+    return messages(stamped(raw), prefix)
+
+
 def rejected_logs(raw: DataFrame) -> DataFrame:
     """Raw lines that hold no JSON object."""
-    rest = [c for c in raw.columns if c == "arrival_ts"]
-    parsed = evaluate_once(raw, members=C.json_members("value"))
-    return parsed.filter(F.col("members").isNull()).select("value", *rest)
+    return rejects(stamped(raw))

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from retail_stream import schemas
 from retail_stream.functions import records as parsing
-from retail_stream.operators import alerts, sales
+from retail_stream.operators import alerts, routing, sales
 from retail_stream.plans import ingest, records
 from retail_stream.sinks import tables, topics
 from retail_stream.sources import topics as sources
@@ -44,6 +44,16 @@ def _start(
     return writer.trigger(**trigger).foreachBatch(write).start()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them and were left out, over the progress reports
+    Spark keeps of the query (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def stream_ingest_logs(
     raw: DataFrame,
     topic_options: dict[str, str],
@@ -57,21 +67,17 @@ def stream_ingest_logs(
     """Raw logs to topics, daily archive and rejects."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        logs = routing.stamped(batch).persist()
         try:
-            intake = ingest.ingest_logs(batch, prefix)
-            messages = intake.messages.persist()
-            try:
-                topics.write_topics(messages, fmt, topic_options, batch_id)
-                topics.archive_logs(messages, archive_path, batch_id)
-            finally:
-                messages.unpersist()
-            rejects = intake.rejects.select(
+            messages = routing.messages(logs, prefix)
+            topics.write_topics(messages, fmt, topic_options, batch_id)
+            topics.archive_logs(messages, archive_path, batch_id)
+            rejects = routing.rejects(logs).select(
                 F.lit("logs").alias("topic"), "value", F.lit("malformed").alias("reason"), "arrival_ts"
             )
             tables.write_batch(rejects, tables.REJECTS, rejects_path, batch_id)
         finally:
-            batch.unpersist()
+            logs.unpersist()
 
     return _start(raw, write, checkpoint, trigger)
 

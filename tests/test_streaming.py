@@ -111,6 +111,18 @@ def test_a_device_is_stored_once_a_day(spark):
     assert tables.read_rows(spark, tables.DAU, f"{bus.path}/out").count() == 2
 
 
+def test_late_rows_are_counted(spark):
+    bus = Bus(spark, "late")
+    for day in (5, 0):
+        bus.send(starts(spark, ("m", "u", DAY + day * 86_400_000)))
+        query = jobs.stream_dau(
+            bus.read(schemas.STARTUP), f"{bus.path}/out", f"{bus.path}/checkpoint", jobs.AVAILABLE_NOW
+        )
+        query.awaitTermination()
+    assert jobs.late_rows(query) == 1
+    assert [r.log_date for r in bus.table(tables.DAU).collect()] == ["2024-01-06"]
+
+
 def events(spark, *rows):
     """Messages of (device, account, event, second)."""
     data = [(m, u, e, "i", DAY + s * 1000) for m, u, e, s in rows]
