@@ -41,7 +41,7 @@ def test_number_becomes_text(spark):
         ("[1,2]", "malformed"),
         ('{"mid":"m","ts":"then"}', "missing key"),
         ('{"ts":5}', "missing key"),
-        ('{"mid":"m","ts":9223372036854775807}', "missing key"),
+        ('{"mid":"m","ts":9223372036854775807}', "ts out of range"),
         ('{"mid":"m","ts":5', "malformed"),
     ],
 )

@@ -52,7 +52,7 @@ def test_starts_are_cut_before_the_shuffle(spark):
     after, before = plan.split("Exchange hashpartitioning(mid")
     assert "WindowGroupLimit" in after and "WindowGroupLimit" in before
     assert "event_type,signup" in before.split("PushedFilters")[1]
-    assert before.split("ReadSchema")[1].count(":") == 5
+    assert before.split("ReadSchema")[1].count(":") == 4
 
 
 def _skewed(spark, settings):
