@@ -220,6 +220,21 @@ def all_sql() -> dict[str, str]:
                 || '}},"today":{{' || coalesce(({_HOURS.format(day=DAY)}), '') || '}}}}' AS json""",
         "dau",
     )
+    lone_details = _sql(
+        """SELECT id AS order_detail_id, order_id, sku_id, sku_name,
+                  order_price::DOUBLE AS sku_price
+           FROM det WHERE NOT EXISTS (SELECT 1 FROM ord WHERE ord.id = det.order_id
+             AND det.arrival BETWEEN ord.arrival - INTERVAL 300 SECOND
+                                 AND ord.arrival + INTERVAL 300 SECOND)""",
+        "ord", "det",
+    )
+    lone_orders = _sql(
+        """SELECT id AS order_id, order_status, create_time, create_date AS dt, user_id
+           FROM ord WHERE NOT EXISTS (SELECT 1 FROM det WHERE ord.id = det.order_id
+             AND det.arrival BETWEEN ord.arrival - INTERVAL 300 SECOND
+                                 AND ord.arrival + INTERVAL 300 SECOND)""",
+        "ord", "det",
+    )
     return {
         "parse_startup": _sql("SELECT * FROM startup", "startup"),
         "parse_event": _sql("SELECT * FROM logev", "logev"),
@@ -325,21 +340,10 @@ def all_sql() -> dict[str, str]:
             "ord", "det",
         ),
         "sale_interval_join": _sql("SELECT * FROM sale", "sale"),
-        "unmatched_details": _sql(
-            """SELECT id AS order_detail_id, order_id, sku_id, sku_name,
-                      order_price::DOUBLE AS sku_price
-               FROM det WHERE NOT EXISTS (SELECT 1 FROM ord WHERE ord.id = det.order_id
-                 AND det.arrival BETWEEN ord.arrival - INTERVAL 300 SECOND
-                                     AND ord.arrival + INTERVAL 300 SECOND)""",
-            "ord", "det",
-        ),
-        "unmatched_orders": _sql(
-            """SELECT id AS order_id, order_status, create_time, create_date AS dt, user_id
-               FROM ord WHERE NOT EXISTS (SELECT 1 FROM det WHERE ord.id = det.order_id
-                 AND det.arrival BETWEEN ord.arrival - INTERVAL 300 SECOND
-                                     AND ord.arrival + INTERVAL 300 SECOND)""",
-            "ord", "det",
-        ),
+        "unmatched_details": lone_details,
+        "stream_unmatched_details": lone_details,
+        "unmatched_orders": lone_orders,
+        "stream_unmatched_orders": lone_orders,
         "user_snapshot": snapshot,
         "sale_detail": sales,
         "first_sales": _sql("SELECT * FROM sale_user ORDER BY doc_id LIMIT 100", "sale_user"),

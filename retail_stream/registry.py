@@ -24,7 +24,7 @@ from retail_stream.scratch import scratch_dir
 from retail_stream.sinks import tables, topics
 from retail_stream.sources import testdata as given
 from retail_stream.sources import topics as sources
-from retail_stream.streaming import jobs
+from retail_stream.streaming import jobs, operators
 from retail_stream.streaming.replay import arrival_bounds, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -564,6 +564,42 @@ def stream_sale_detail_repeats(spark, sf_dir):
     return _sales_by_stream(spark, sf_dir, orders.unionByName(again), HARD_PARTS)
 
 
+def _unmatched_by_stream(spark, sf_dir, find) -> DataFrame:
+    """What the streaming join leaves without a partner. The replay ends with a pair far ahead, so that
+    the watermark passes all others."""
+    path = scratch_dir(spark, "stream-unmatched")
+    ahead = F.timestamp_millis(F.lit(FAR_AHEAD_MS)).alias("arrival_ts")
+    one = given.table(spark, sf_dir, "region").limit(1)
+    pair = one.select(F.lit("far").alias("id"), F.lit("far").alias("order_id"), ahead)
+    orders = _messages(given.order_payload(spark, sf_dir), schemas.ORDER)
+    messages = (
+        orders.unionByName(_messages(given.details(spark, sf_dir), schemas.DETAIL))
+        .unionByName(_messages(pair.drop("order_id"), schemas.ORDER))
+        .unionByName(_messages(pair, schemas.DETAIL))
+    )
+
+    def start():
+        o, d = (sources.read_topic(spark, t, "json", _json(path)) for t in (schemas.ORDER, schemas.DETAIL))
+        found = find(record_plans.orders(o), record_plans.details(d))
+        writer = found.writeStream.option("checkpointLocation", f"{path}/checkpoint")
+        return writer.trigger(**jobs.AVAILABLE_NOW).format("parquet").start(f"{path}/out")
+
+    replay(messages, f"{path}/topics", start, bounds=arrival_bounds(orders, HARD_PARTS))
+    return spark.read.parquet(f"{path}/out")
+
+
+@query
+def stream_unmatched_details(spark, sf_dir):
+    found = _unmatched_by_stream(spark, sf_dir, lambda o, d: operators.join_sales(o, d, how="left_outer"))
+    lines = found.filter("order_arrival is null")
+    return lines.select("order_detail_id", "order_id", "sku_id", "sku_name", "sku_price")
+
+
+@query
+def stream_unmatched_orders(spark, sf_dir):
+    return _unmatched_by_stream(spark, sf_dir, operators.orders_without_lines).drop("order_arrival")
+
+
 @query
 def stream_coupon_alert(spark, sf_dir):
     """The last windows close when time moves on, so the replay ends with one message far ahead."""
