@@ -9,6 +9,17 @@ from retail_stream.llm import decontamination, line_templates, packing, perplexi
 from retail_stream.llm.common import stored, table
 
 
+# Keys of rejected documents go to the documents up to this many bytes; beyond it both are shuffled.
+BROADCAST_BYTES = 32 << 20
+KEY_BYTES = 16
+
+
+def _small(keys: DataFrame, name: str) -> DataFrame:
+    """64-bit keys, written, and marked for broadcast if their counted size is within the bound."""
+    keys = stored(keys, name)
+    return F.broadcast(keys) if keys.count() * KEY_BYTES <= BROADCAST_BYTES else keys
+
+
 def _by_version(docs: DataFrame) -> DataFrame:
     """Documents with the hash of their text, under a name no column of theirs has."""
     return docs.withColumn("__version", F.xxhash64(F.col("text").cast("string")))
@@ -17,14 +28,9 @@ def _by_version(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the perplexity classifier keeps. The verdict belongs to (text, language)."""
     rated = perplexity.classify(docs, table(spark, sf_dir, "labels"))
-    gone = rated.filter(~F.col("kept")).select(
-        F.col("version").alias("__version"), F.col("lang").alias("__lang")
-    ).distinct()
-    same_lang = F.col("lang").cast("string").eqNullSafe(F.col("__lang"))
-    rows = _by_version(docs).alias("d").join(
-        gone.alias("g"), (F.col("d.__version") == F.col("g.__version")) & same_lang, "left_anti"
-    )
-    return rows.drop("__version")
+    gone = rated.filter(~F.col("kept")).select(F.xxhash64("version", "lang").alias("__key")).distinct()
+    keyed = _by_version(docs).withColumn("__key", F.xxhash64("__version", F.col("lang").cast("string")))
+    return keyed.join(_small(gone, "rejected"), "__key", "left_anti").drop("__version", "__key")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.filter("contaminated").select(F.col("version").alias("__version")).distinct()
+    gone = _small(found.filter("contaminated").select(F.col("version").alias("__version")).distinct(), "contaminated")
     return _by_version(docs).join(gone, "__version", "left_anti").drop("__version")
 
 
