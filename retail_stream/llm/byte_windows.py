@@ -42,13 +42,13 @@ BYTES = superkmers.Units(
 def first_places(rows: pd.DataFrame, base: int = induced_sort.BASE, limit: int = induced_sort.IN_MEMORY) -> pd.DataFrame:
     """RUNS of one shard: for every 100-byte string the first place that it has in the shard.
 
-    Symbols are bytes plus one and strings are parted by 0, so the text is kept in 16 bits.
+    Symbols are bytes plus one, which UTF-8 keeps below 256, and strings are parted by 0.
     """
     packed = rows["packed"].tolist()
     n = rows["n"].to_numpy(np.int64)
     sizes = np.array([len(p) for p in packed], np.int64)
     begin = np.cumsum(sizes + 1) - sizes - 1
-    text = np.frombuffer(b"\0".join(packed) + b"\0", np.uint8).astype(np.int16) + 1
+    text = np.frombuffer(b"\0".join(packed) + b"\0", np.uint8) + np.uint8(1)
     text[begin + sizes] = 0
     total = int(n.sum())
     owner = np.repeat(np.arange(len(n)), n)

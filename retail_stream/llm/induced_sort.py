@@ -60,10 +60,15 @@ class Queues:
         return np.frombuffer(self.file.read(16 * n), np.int64).reshape(n, 2)
 
     def pop(self, symbol: int) -> Iterator[np.ndarray]:
-        """Runs of a symbol, oldest first, also those pushed meanwhile."""
+        """The tuples of a symbol, oldest first, also those pushed meanwhile; all that wait at a time,
+        up to about the limit."""
         runs = self.runs[symbol]
         while runs:
-            yield self._load(runs.popleft())
+            some, n = [], 0
+            while runs and n < self.limit:
+                some.append(self._load(runs.popleft()))
+                n += len(some[-1])
+            yield np.concatenate(some) if len(some) > 1 else some[0]
 
     def pop_last(self, symbol: int) -> Iterator[np.ndarray]:
         runs = self.runs[symbol]
@@ -152,18 +157,30 @@ def order_lms(text: np.ndarray, up: np.ndarray, lms: np.ndarray, depth: int, bas
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Lengths of common prefixes of pairs of suffixes, by comparison, up to the depth."""
+    """Lengths of common prefixes of pairs of suffixes, by comparison, up to the depth. Bytes are
+    compared eight at a time."""
+    wide = 8 if text.dtype == np.uint8 else 1
+    n = len(text)
+    if wide == 8:
+        padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
+        words = np.ndarray(n + depth, "<u8", padded.data, strides=(1,))
     out = np.zeros(len(a), np.int64)
-    live, n = np.arange(len(a)), len(text)
-    for d in range(depth):
+    live = np.arange(len(a))
+    for d in range(0, depth, wide):
         x, y = a[live] + d, b[live] + d
-        inside = (x < n) & (y < n)
-        live, x, y = live[inside], x[inside], y[inside]
-        equal = text[x] == text[y]
-        live = live[equal]
+        if wide == 8:
+            differs = words[x] ^ words[y]
+            low = differs & (~differs + np.uint64(1))
+            equal = np.where(differs == 0, 8, np.bitwise_count(low - np.uint64(1)) // 8)
+            # What lies beyond the end is no part of a suffix.
+            equal = np.minimum(equal, np.maximum(n - np.maximum(x, y), 0))
+        else:
+            inside = (x < n) & (y < n)
+            equal = (inside & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])).astype(np.int64)
+        out[live] = np.minimum(d + equal, depth)
+        live = live[equal == wide]
         if not len(live):
             break
-        out[live] = d + 1
     return out
 
 
