@@ -34,7 +34,7 @@ def _split(texts: pa.Array):
 
 
 BYTES = superkmers.Units(
-    WINDOW, GRAM, _split, lambda text: text.encode(), lambda data, a, b: data[a:b],
+    WINDOW, GRAM, _split, lambda data: data, lambda data, a, b: data[a:b],
     lambda packed, n: [packed[o : o + WINDOW] for o in range(n)],
 )
 
@@ -109,10 +109,11 @@ def remove_repeats(
     spans = superkmers.removed_windows(docs, BYTES, settler(shard_bytes, base, limit), same_doc=True, hot=hot)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = superkmers.unpacker()
         for frame in frames:
             out = []
-            for doc, text, found in zip(frame["doc"], frame["text"], frame["spans"]):
-                data = np.frombuffer(text.encode(), np.uint8)
+            for doc, packed, found in zip(frame["doc"], frame["packed"], frame["spans"]):
+                data = np.frombuffer(unpack(packed), np.uint8)
                 gone = superkmers.covered(len(data), found, WINDOW)
                 starts = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
                 out.append((None if doc == NO_ID else doc, len(data), int(gone.sum()), starts, data[~gone].tobytes()))

@@ -40,7 +40,7 @@ P = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Units:
     """``split`` gives the unit hashes of a batch of texts and the offsets of the texts in them;
-    ``cut`` packs units [a, b) of a prepared text, ``windows`` are the windows of a packed string."""
+    ``prepare`` readies a text's bytes, ``cut`` packs units [a, b) of it, ``windows`` are the windows of a packed string."""
 
     window: int
     gram: int
@@ -123,6 +123,27 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(doc_key().alias("doc"), version.alias("version"), text.alias("text"))
 
 
+def compressed(docs: DataFrame) -> DataFrame:
+    """doc, version, packed: the UTF-8 text compressed, for the joins that move whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            packed = pa.array([packer.compress(x.as_buffer()) for x in texts], pa.binary())
+            yield pa.record_batch([batch.column("doc"), batch.column("version"), packed], ["doc", "version", "packed"])
+
+    return keyed(docs).mapInArrow(run, "doc bigint, version bigint, packed binary")
+
+
+def unpacker() -> Callable[[bytes], bytes]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress
+
+
 def _routes(m: np.ndarray, at: np.ndarray) -> np.ndarray:
     """0: met once in this batch; -1: stands for the rows of its minimiser in this batch; else a number
     that spreads the other rows."""
@@ -189,17 +210,18 @@ def packed_strings(docs: DataFrame, wanted: DataFrame, units: Units) -> DataFram
     )
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = unpacker()
         for frame in frames:
             out = []
-            for doc, text, items in zip(frame["doc"], frame["text"], frame["items"]):
-                ready = units.prepare(text)
+            for doc, packed, items in zip(frame["doc"], frame["packed"], frame["items"]):
+                ready = units.prepare(unpack(packed))
                 for x in items:
                     place, n = x["at"] >> 8, x["at"] & 255
                     a = place & ((1 << POSITION_BITS) - 1)
                     out.append((x["m"], x["sk"], doc, place, n, units.cut(ready, a, a + n + units.window - 1)))
             yield pd.DataFrame(out, columns=["m", "sk", "doc", "place", "n", "packed"])
 
-    joined = keyed(docs).join(lists, ["doc", "version"]).select("doc", "text", "items")
+    joined = compressed(docs).join(lists, ["doc", "version"]).select("doc", "packed", "items")
     return joined.mapInPandas(cut, "m bigint, sk bigint, doc bigint, place bigint, n int, packed binary")
 
 
@@ -277,5 +299,5 @@ def covered(n_units: int, spans, window: int) -> np.ndarray:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc, text, spans for every input row."""
-    return keyed(docs).join(spans, ["doc", "version"], "left").select("doc", "text", "spans")
+    """doc, packed text, spans for every input row."""
+    return compressed(docs).join(spans, ["doc", "version"], "left").select("doc", "packed", "spans")

@@ -37,7 +37,7 @@ def _windows(packed: bytes, n: int, window: int = WINDOW) -> list[bytes]:
 
 
 WORDS = superkmers.Units(
-    WINDOW, GRAM, _split, lambda text: text.encode().split(), lambda words, a, b: b" ".join(words[a:b]), _windows
+    WINDOW, GRAM, _split, lambda data: data.split(), lambda words, a, b: b" ".join(words[a:b]), _windows
 )
 
 
@@ -77,10 +77,11 @@ def remove_repeats(docs: DataFrame, hot: int = superkmers.HOT) -> DataFrame:
     spans = superkmers.removed_windows(docs, WORDS, settle, same_doc=False, hot=hot)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = superkmers.unpacker()
         for frame in frames:
             out = []
-            for doc, text, found in zip(frame["doc"], frame["text"], frame["spans"]):
-                words = text.encode().split()
+            for doc, packed, found in zip(frame["doc"], frame["packed"], frame["spans"]):
+                words = unpack(packed).split()
                 gone = superkmers.covered(len(words), found, WINDOW)
                 left = [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
                 out.append((None if doc == NO_ID else doc, len(words), int(gone.sum()), b" ".join(left).decode()))
