@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 from retail_stream.llm.common import WHITE, doc_key, stored
 
 LEADING = 3
-# Templates in fewer documents stay.
+# Templates in fewer documents stay, as lines of different words may agree by chance.
 MIN_DOCS = 3
+# The same in the query for lines that recur as they stand.
+LINE_DOCS = 2
 # Shorter lines are templates as they stand.
 MIN_TOKENS = 6
 # Share of the tokens that have to agree with a leaf's template, leading ones included.
@@ -86,9 +88,9 @@ def _generalised(docs: DataFrame, seen: DataFrame, similarity: float, min_docs:
     return agree.filter(F.col("equal") + LEADING >= similarity * F.col("n")).select("template", "leaf")
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, general_docs: int = MIN_DOCS) -> DataFrame:
     """doc, version, dropped: numbers of the lines whose template occurs in at least ``min_docs``
-    documents, of which this one is not the first. Rows that share an id count as one document."""
+    documents (``general_docs`` where it stands for lines of different words), of which this one is not the first. Rows that share an id count as one document."""
     lines = stored(_lines(docs), "lines")
     pairs = lines.groupBy("leaf", "template", "n", "doc").agg(F.min(F.struct("version", "at")).alias("v"))
     seen = stored(
@@ -98,21 +100,22 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float
         ),
         "templates",
     )
-    members = stored(_generalised(docs, seen, similarity, min_docs), "members")
+    members = stored(_generalised(docs, seen, similarity, general_docs), "members")
     named = seen.join(members.withColumn("general", F.lit(True)), ["leaf", "template"], "left")
     # Templates of one leaf that were generalised are counted together, document by document.
-    own = named.filter("general is null and docs >= %d" % min_docs).select(
+    # A line that recurs as it stands counts by itself too, if its leaf is in too few documents.
+    own = named.filter(F.col("docs") >= min_docs).select(
         "leaf", "template", "n", F.col("first.doc").alias("first_doc")
     )
     general = named.filter("general").select("leaf", "template", "n")
     leaf_docs = (
         pairs.join(general, ["leaf", "template", "n"]).select("leaf", "n", "doc").distinct()
         .groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first_doc"))
-        .filter(F.col("docs") >= min_docs)
+        .filter(F.col("docs") >= general_docs)
     )
     recurring = own.unionByName(
         general.join(leaf_docs, ["leaf", "n"]).select("leaf", "template", "n", "first_doc")
-    )
+    ).groupBy("leaf", "template", "n").agg(F.min("first_doc").alias("first_doc"))
     return (
         lines.join(recurring, ["leaf", "template", "n"]).filter(F.col("doc") > F.col("first_doc"))
         .groupBy("doc", "version").agg(F.collect_set("at").alias("dropped"))
@@ -130,15 +133,15 @@ def _without(text: pd.Series, dropped: pd.Series) -> pd.Series:
     return pd.Series([keep(t, g) for t, g in zip(text, dropped)], dtype=object)
 
 
-def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
+def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, general_docs: int = MIN_DOCS) -> DataFrame:
     """The input rows with text without recurring lines, and n_lines, n_dropped.
 
-    A template in ``min_docs`` or more documents stays in the first of them, by smallest doc_id, and is
+    A template in ``min_docs`` (generalised: ``general_docs``) or more documents stays in the first of them, by smallest doc_id, and is
     dropped from the others; so copies lose their lines, and no line is lost altogether. Ids that are
     null rank after all others and are one document. Blank lines stay. A null text stays null and has no
     lines; a document may end up empty and stays a row. Other columns pass unchanged.
     """
-    found = recurring_lines(docs, min_docs, similarity).select(
+    found = recurring_lines(docs, min_docs, similarity, general_docs).select(
         F.col("doc").alias("__doc"), F.col("version").alias("__version"), "dropped"
     ).withColumnRenamed("dropped", "__dropped")
     text = F.col("text").cast("string")

@@ -46,7 +46,7 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = line_templates.drop_templates(table(spark, sf_dir, "documents"))
+    rows = line_templates.drop_templates(table(spark, sf_dir, "documents"), line_templates.LINE_DOCS)
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
