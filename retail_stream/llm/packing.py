@@ -25,7 +25,7 @@ PLACED = (
 
 
 def word_count() -> Column:
-    """Default length: white-space separated words, and one token that ends the document."""
+    """Default length where no encoded one is given: white-space separated words, and one token that ends the document."""
     text = F.trim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), WHITE, " "))
     return F.when(text == "", 1).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 2)
 
