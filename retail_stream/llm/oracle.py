@@ -105,10 +105,89 @@ DECONTAMINATION = f"""
     FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)"""
 
 
+def vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Lloyd rounds written out; each compares every part with the whole codebook."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    near{r} AS (
+      SELECT r, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS best
+      FROM (SELECT r, p, x, e, list_sum(list_transform(range(1, len(x) + 1),
+                                        lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+            FROM cut JOIN book{r} USING (p)) GROUP BY r, p)""")
+        if r < rounds:
+            steps.append(f"""
+    sums{r} AS (
+      SELECT p, e, i, sum(v) AS s, count(*) AS n
+      FROM (SELECT p, best.e AS e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS v FROM near{r}) GROUP BY p, e, i),
+    mean{r} AS (
+      SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM sums{r} GROUP BY p, e),
+    book{r + 1} AS (
+      SELECT p, e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m USING (p, e))""")
+    return f"""
+    WITH kept AS (
+      SELECT row_number() OVER () AS r, vec_id, label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    seeds AS (SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {entries}),
+    cut AS (SELECT r, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+            FROM kept, range({parts}) t(p)),
+    book0 AS (SELECT p, e, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS c
+              FROM seeds, range({parts}) t(p)),{",".join(steps)},
+    coded AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+              FROM near{rounds} GROUP BY r)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+    FROM kept JOIN coded USING (r)"""
+
+
+def filter_audit_sql() -> str:
+    """Masks per document, then every order's steps over their counts."""
+    bits = {n: 1 << i for i, n in enumerate("ABCDE")}
+    mask = " + ".join(f"{b} * fails_{n.lower()}::INTEGER" for n, b in bits.items())
+    bit = "(1 << (ascii(l) - 65))"
+    return f"""
+    WITH measured AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    judged AS (
+      SELECT doc_id, part, len(w) < 200 AS fails_a, 100 * len(list_distinct(w)) < 50 * len(w) AS fails_b,
+             100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text) AS fails_c,
+             regexp_matches(text, '[#$%&*|]') AS fails_d,
+             coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS fails_e FROM measured),
+    known AS (SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic
+              FROM labels GROUP BY doc_id),
+    masks AS (
+      SELECT part, {mask} AS mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM judged LEFT JOIN known USING (doc_id) GROUP BY ALL),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (
+      SELECT a.x || b.x || c.x || d.x || e.x AS o
+      FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+      JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+    steps AS (
+      SELECT o, s, o[s:s] AS l, list_sum(list_transform(range(1, s), lambda i: 1 << (ascii(o[i:i]) - 65))) AS before
+      FROM orders, range(1, 6) t(s)),
+    counted AS (
+      SELECT part, o AS filter_order, s::INTEGER AS step, l,
+        sum(CASE WHEN mask & (coalesce(before, 0)::INTEGER | {bit}) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & coalesce(before, 0)::INTEGER = 0 AND mask & {bit} > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & coalesce(before, 0)::INTEGER > 0 AND mask & {bit} > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = {bit} THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & coalesce(before, 0)::INTEGER = 0 AND mask & {bit} > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & coalesce(before, 0)::INTEGER = 0 AND mask & {bit} > 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM masks, steps GROUP BY part, o, s, l)
+    SELECT * EXCLUDE (l), (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM counted"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_warc": WARC,
         "op3_word_windows": WORD_WINDOWS,
         "op4_host_rules": host_rules_sql(),
         "op9_decontamination": DECONTAMINATION,
+        "op11_filter_audit": filter_audit_sql(),
+        "op13_vector_codes": vector_codes_sql(),
     }

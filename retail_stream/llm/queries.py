@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from retail_stream.llm import (
     byte_windows,
     decontamination,
+    filter_audit,
     host_rules,
     line_templates,
     oracle,
@@ -17,6 +18,7 @@ from retail_stream.llm import (
     perplexity,
     simhash,
     token_counts,
+    vector_codes,
     warc,
     word_windows,
 )
@@ -75,6 +77,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(vector_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
@@ -86,6 +96,8 @@ QUERIES: dict[str, Query] = {
     "op8_byte_windows": op8_byte_windows,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.all_sql()
