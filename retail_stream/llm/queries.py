@@ -12,6 +12,7 @@ from retail_stream.llm import (
     decontamination,
     filter_audit,
     host_rules,
+    language_crf,
     line_templates,
     oracle,
     packing,
@@ -81,6 +82,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.identify(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digest(vector_codes.compress(table(spark, sf_dir, "embeddings")))
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
     "op11_filter_audit": op11_filter_audit,
+    "op12_language_id": op12_language_id,
     "op13_vector_codes": op13_vector_codes,
 }
 
