@@ -7,6 +7,7 @@ totals, quantiles and truncated totals, without looking at a document again.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -16,6 +17,10 @@ from pyspark.sql import functions as F
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenisation pattern that belongs to the ranks.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The characters the pattern calls white space.
+SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Runs of white space from this length on are cut out of a text before it is split by the pattern.
+LONG_RUN = re.compile(f"[{SPACES}]{{1024,}}")
 # Lengths of one block are summed in one task: at most so many rows.
 BLOCK = 4096
 
@@ -36,14 +41,28 @@ def _encoding(ranks_path: str):
     return _ENCODINGS[ranks_path]
 
 
+def text_length(encoding, text: str) -> int:
+    """Tokens of a text. The pattern makes one piece of a run of white space but its last character, which
+    belongs to what follows, and of a run at the end as a whole. Matching that takes stack for every
+    character, so long runs are encoded as the piece they are."""
+    tokens, at = 0, 0
+    for run in LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        tokens += len(encoding.encode_ordinary(text[at : run.start()]))
+        tokens += len(encoding._encode_single_piece(text[run.start() : end]))
+        at = end
+    return tokens + len(encoding.encode_ordinary(text[at:] if at else text))
+
+
 def token_lengths(docs: DataFrame, ranks_path: str = RANKS) -> DataFrame:
-    """doc_id and n_tokens per document; a null or empty text has none. The vocabulary file is read by
-    every worker, so its path must exist on all machines."""
+    """doc_id and n_tokens per document; a null or empty text has none, a text of any length is encoded
+    whole, repeated rows get one row each. The vocabulary file is read by every worker, so its path must
+    exist on all machines."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoding = _encoding(ranks_path)
         for frame in frames:
-            counts = [0 if x is None else len(encoding.encode_ordinary(x)) for x in frame["text"]]
+            counts = [0 if x is None else text_length(encoding, x) for x in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_tokens": counts})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -63,7 +82,8 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     quantile: share of documents of at most L tokens.
 
     Sums run in two levels, inside blocks of BLOCK lengths and over the blocks, so that no task orders
-    all lengths of a corpus with very long documents. An empty corpus gives no row.
+    all lengths of a corpus with very long documents; the blocks, at most the longest document's tokens /
+    BLOCK, are ordered in one task. An empty corpus gives no row.
     """
     rows = hist.select(
         "n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
