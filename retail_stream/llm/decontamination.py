@@ -88,21 +88,24 @@ def places(docs: DataFrame, shingles: DataFrame) -> DataFrame:
     at = rows.select("doc", "version", "w", F.size("w").alias("n_words"), F.posexplode_outer("w").alias("pos", "word"))
 
     def key(k):
-        following = [F.get("w", F.col("pos") + d) for d in range(1, k)]
+        parts = [F.col("word"), *[F.get("w", F.col("pos") + d) for d in range(1, k)]]
         fits = F.col("pos") + k <= F.col("n_words")
-        return F.struct(F.lit(k).alias("k"), F.when(fits, _hash([F.col("word"), *following])).alias("hash"))
+        return F.struct(
+            F.lit(k).alias("k"), F.when(fits, _hash(parts)).alias("hash"),
+            F.when(fits, F.concat_ws(" ", *parts)).alias("text"),
+        )
 
     if len(sizes) == 1:
         keyed = at.select("*", key(sizes[0]).alias("key"))
     else:
         keyed = at.select("*", F.explode(F.array(*map(key, sizes))).alias("key"))
-    keyed = keyed.select("doc", "version", "w", "n_words", "pos", F.col("key.k").alias("k"), F.col("key.hash").alias("hash"))
+    # The document's words stay behind here: a position takes its own shingle along and no more.
+    keyed = keyed.select("doc", "version", "n_words", "pos", "key.k", "key.hash", "key.text")
     first = F.coalesce(F.col("pos") == 0, F.lit(True)) & (F.col("k") == sizes[0])
     found = keyed.join(tokens, ["k", "hash"], "left").filter(F.col("shingles").isNotNull() | first)
-    text = F.array_join(F.slice("w", F.col("pos") + 1, F.col("k")), " ")
-    real = F.when(F.col("shingles").isNotNull() & F.array_contains(F.coalesce("shingles", F.array().cast("array<string>")), text), text)
+    known = F.coalesce(F.array_contains("shingles", F.col("text")), F.lit(False))
     both = F.array(F.struct(F.lit(None).cast("string").alias("shingle"), first.alias("keep")),
-                   F.struct(real.alias("shingle"), real.isNotNull().alias("keep")))
+                   F.struct(F.col("text").alias("shingle"), known.alias("keep")))
     return stored(
         found.select("doc", "version", "n_words", "pos", F.inline(both)).filter("keep").drop("keep"), "places"
     )
