@@ -32,6 +32,8 @@ FILE_BYTES = 256 << 20
 # A range is read at once if the gap to the next selected record is at most GAP, up to RANGE bytes.
 GAP_BYTES = 64 << 10
 RANGE_BYTES = 8 << 20
+# Archive bytes a task reads.
+TASK_BYTES = 16 << 20
 
 INDEX = "page_id bigint, file string, offset bigint, length bigint, url string, digest string, record_type string"
 RECORD = (
@@ -157,14 +159,16 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
 
 
 def read_archives(
-    selected: DataFrame, folder: str, gap: int = GAP_BYTES, most: int = RANGE_BYTES
+    selected: DataFrame, folder: str, gap: int = GAP_BYTES, most: int = RANGE_BYTES, task_bytes: int = TASK_BYTES
 ) -> DataFrame:
     """The records of the selected index rows. Rows of one stretch of one file come to one task, sorted
-    by offset; a stretch is ``most`` bytes long, whatever the file's size."""
+    by offset; a stretch is ``most`` bytes long, whatever the file's size. There are as many tasks as the
+    bytes to read need: the index rows alone say nothing of them."""
     stretch = F.floor(F.col("offset") / most)
+    tasks = max(1, -(-(selected.agg(F.sum("length")).first()[0] or 0) // task_bytes))
     sorted_rows = (
         selected.select("file", "offset", "length", stretch.alias("stretch"))
-        .repartition("file", "stretch")
+        .repartition(tasks, "file", "stretch")
         .sortWithinPartitions("file", "offset")
     )
 
