@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ PIECES = 1 << 16
 FIRST_PREFIX = 4
 # How the documents of one text are kept: one entry per group, its documents and those of the smallest id.
 TERMINALS = "text string, n_bytes bigint, kind int, least bigint, groups array<string>, docs array<bigint>, firsts array<bigint>"
+MARKED = f"{TERMINALS}, marks array<bigint>"
 
 
 def _shared(a: bytes, i: int, b: bytes, j: int, end_b: int) -> int:
@@ -105,9 +108,10 @@ class RadixTrie:
             waiting.extend(children.values())
 
 
-def _rows(found: list[tuple[bytes, Terminal]]) -> pa.RecordBatch:
+def _rows(found: list[tuple[bytes, Terminal]], marked: bool) -> pa.RecordBatch:
     groups = [sorted(t.groups.items()) for _, t in found]
     count = pa.list_(pa.int64())
+    marks = [pa.array([_marks(x) for x, _ in found], count)] if marked else []
     return pa.record_batch(
         [
             pa.array([x for x, _ in found], pa.binary()).cast(pa.string()),
@@ -117,8 +121,9 @@ def _rows(found: list[tuple[bytes, Terminal]]) -> pa.RecordBatch:
             pa.array([[k for k, _ in g] for g in groups], pa.list_(pa.string())),
             pa.array([[v[0] for _, v in g] for g in groups], count),
             pa.array([[v[1] for _, v in g] for g in groups], count),
+            *marks,
         ],
-        ["text", "n_bytes", "kind", "least", "groups", "docs", "firsts"],
+        ["text", "n_bytes", "kind", "least", "groups", "docs", "firsts", "marks"][: 7 + marked],
     )
 
 
@@ -130,7 +135,7 @@ def _entries(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, int, dict[str,
 
 
 def local_terminals(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
-    """The distinct texts of each task, from rows of text, ``kind`` (a number that depends on the text
+    """The distinct texts of each task (``MARKED``), from rows of text, ``kind`` (a number that depends on the text
     alone), ``id`` and ``groups_key``. A task whose texts outgrow ``limit`` hands its trie on and starts
     another, so a text may come out of a task more than once."""
 
@@ -142,56 +147,65 @@ def local_terminals(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
             for x, kind, doc, key in zip(text, *columns):
                 trie.put(x.as_py(), kind, doc, {key: (1, 1)})
                 if trie.bytes > limit:
-                    yield from _handed_on(trie)
+                    yield from _handed_on(trie, True)
                     trie = RadixTrie()
-        yield from _handed_on(trie)
+        yield from _handed_on(trie, True)
 
-    return docs.select("text", "kind", "id", "groups_key").mapInArrow(run, TERMINALS)
+    return docs.select("text", "kind", "id", "groups_key").mapInArrow(run, MARKED)
 
 
-def _handed_on(trie: RadixTrie, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _handed_on(trie: RadixTrie, marked: bool, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     some: list = []
     size = 0
     for one in trie.terminals():
         some.append(one)
         size += len(one[0])
         if size > limit:
-            yield _rows(some)
+            yield _rows(some, marked)
             some, size = [], 0
     if some:
-        yield _rows(some)
+        yield _rows(some, marked)
 
 
-def prefix_lengths(
-    texts: DataFrame, max_bytes: int, max_texts: int, first: int = FIRST_PREFIX
-) -> DataFrame:
-    """The texts with ``prefix_length``: four times as many characters each time more than ``max_bytes``
-    bytes or ``max_texts`` texts share a prefix that is not all of them.
+def _marks(text: bytes) -> list[int]:
+    """Hashes of the text's prefixes of 4, 16, 64, ... bytes that are shorter than the text."""
+    import xxhash
+
+    out, size = [], FIRST_PREFIX
+    while size < len(text):
+        out.append(xxhash.xxh64_intdigest(text[:size]) - (1 << 63))
+        size *= 4
+    return out
+
 
-    Crowded prefixes are marked by hash (a clash only lengthens another prefix); there are at most
-    total / max_bytes + total / max_texts of them at a level, which bounds what is broadcast.
+def prefix_lengths(texts: DataFrame, max_bytes: int, max_texts: int) -> DataFrame:
+    """The texts with ``prefix_length``: the first of 4, 16, 64, ... bytes under which no more than
+    ``max_bytes`` bytes and ``max_texts`` texts share the prefix, or that holds the whole text.
+
+    Prefixes of all lengths are counted at once, by hash (a clash only lengthens another prefix). At most
+    total / max_bytes + total / max_texts of them are crowded at a level; their hashes go to the tasks.
     """
-    length, level, sized = F.lit(first), first, texts
-    while True:
-        mark = F.xxhash64(F.substring("text", 1, level))
-        open_ = sized.filter(F.col("__level") == level) if level > first else sized
-        crowded = (
-            open_.groupBy(mark.alias("mark"))
-            .agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("longest"))
-            .filter((F.col("longest") > level) & ((F.col("b") > max_bytes) | (F.col("n") > max_texts)))
-            .select("mark")
-        )
-        crowded = stored(crowded, "crowded")
-        if crowded.isEmpty():
-            break
-        above = F.lit(first) if level == first else F.col("__level")
-        marked = sized.withColumn("__mark", F.when(above == level, mark))
-        marked = marked.join(F.broadcast(crowded), F.col("__mark") == F.col("mark"), "left")
-        longer = F.when(F.col("mark").isNotNull(), F.lit(level * 4)).otherwise(above)
-        sized = marked.withColumn("__level", longer).drop("mark", "__mark")
-        level *= 4
-        length = F.col("__level")
-    return sized.withColumn("prefix_length", length).drop("__level")
+    counts = texts.select("n_bytes", F.posexplode("marks").alias("level", "mark")).groupBy("level", "mark").agg(
+        F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")
+    )
+    crowded = counts.filter((F.col("b") > max_bytes) | (F.col("n") > max_texts)).select("level", "mark").toPandas()
+    levels = [np.sort(g["mark"].to_numpy()) for _, g in crowded.groupby("level")]
+    known = texts.sparkSession.sparkContext.broadcast(levels)
+
+    def settled(marks: pd.Series) -> pd.Series:
+        sets = known.value
+        level = np.zeros(len(marks), np.int64)
+        for i, own in enumerate(marks):
+            k = 0
+            while k < min(len(own), len(sets)):
+                at = np.searchsorted(sets[k], own[k])
+                if at == len(sets[k]) or sets[k][at] != own[k]:
+                    break
+                k += 1
+            level[i] = k
+        return pd.Series(FIRST_PREFIX * 4**level)
+
+    return texts.withColumn("prefix_length", F.pandas_udf(settled, "bigint")("marks").cast("int")).drop("marks")
 
 
 def merged_terminals(
@@ -212,13 +226,13 @@ def merged_terminals(
         for batch in batches:
             for x, kind, least, groups in _entries(batch):
                 if trie.bytes > limit and x != last:
-                    yield from _handed_on(trie)
+                    yield from _handed_on(trie, False)
                     trie = RadixTrie()
                 trie.put(x, kind, least, groups)
                 last = x
-        yield from _handed_on(trie)
+        yield from _handed_on(trie, False)
 
-    by_prefix = cut.repartitionByRange(parts, F.expr("substring(text, 1, prefix_length)"))
+    by_prefix = cut.repartitionByRange(parts, F.expr("substring(cast(text as binary), 1, prefix_length)"))
     return by_prefix.drop("prefix_length").sortWithinPartitions("text").mapInArrow(run, TERMINALS)
 
 
