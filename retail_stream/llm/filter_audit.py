@@ -20,7 +20,7 @@ COPY = "E"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Labels go to the documents up to this many bytes; beyond it both are shuffled.
 BROADCAST_BYTES = 32 << 20
-LABEL_BYTES = 16
+LABEL_BYTES = 64
 MARK = "\x1f"
 
 
