@@ -7,4 +7,7 @@ import sys
 
 from pyspark import cloudpickle
 
+from retail_stream import scratch
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(scratch)

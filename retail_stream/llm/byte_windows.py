@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_stream.llm import induced_sort, superkmers
-from retail_stream.llm.common import NO_ID, bounds, whole_groups
+from retail_stream.llm.common import bounds, whole_groups
 
 WINDOW = 100
 GRAM = 24
@@ -56,6 +56,7 @@ def first_places(rows: pd.DataFrame, base: int = induced_sort.BASE, limit: int =
     number = np.full(len(text), -1, np.int64)
     number[np.repeat(begin, n) + offset] = np.arange(total)
     doc = rows["doc"].to_numpy(np.int64)[owner]
+    version = rows["version"].to_numpy(np.int64)[owner]
     place = rows["place"].to_numpy(np.int64)[owner] + offset
     first = np.arange(total)
     for part in induced_sort.suffixes(text, WINDOW, base, limit):
@@ -63,19 +64,21 @@ def first_places(rows: pd.DataFrame, base: int = induced_sort.BASE, limit: int =
         window = number[part[:, 0]]
         real = window >= 0
         string, window = string[real], window[real]
-        order = np.lexsort((place[window], doc[window], string))
+        order = np.lexsort((place[window], version[window], doc[window], string))
         string, window = string[order], window[order]
         head = np.ones(len(string), bool)
         head[1:] = string[1:] != string[:-1]
         at = np.flatnonzero(head)
         first[window] = np.repeat(window[at], np.diff([*at, len(window)]))
-    first_doc, first_place = doc[first], place[first]
+    first_doc, first_version, first_place = doc[first], version[first], place[first]
     new = np.ones(total, bool)
     new[1:] = (owner[1:] != owner[:-1]) | (first_doc[1:] != first_doc[:-1]) | (np.diff(first_place) != 1)
+    new[1:] |= first_version[1:] != first_version[:-1]
     at = np.flatnonzero(new)
     return pd.DataFrame({
         "m": rows["m"].to_numpy()[owner[at]], "sk": rows["sk"].to_numpy()[owner[at]], "o": offset[at],
-        "n": np.diff([*at, total]), "first_doc": first_doc[at], "first_place": first_place[at],
+        "n": np.diff([*at, total]), "first_doc": first_doc[at], "first_version": first_version[at],
+        "first_place": first_place[at],
     })
 
 
@@ -106,21 +109,22 @@ def remove_repeats(
     Rows that repeat id and text are one document; different texts of one id are ordered by a hash.
     Null, empty or short texts lose nothing. ``kept`` may cut a character in two, so it is binary.
     """
-    spans = superkmers.removed_windows(docs, BYTES, settler(shard_bytes, base, limit), same_doc=True, hot=hot)
+    texts = superkmers.keyed(docs)
+    spans = superkmers.removed_windows(texts, BYTES, settler(shard_bytes, base, limit), same_doc=True, hot=hot)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = superkmers.unpacker()
         for frame in frames:
             out = []
-            for doc, packed, found in zip(frame["doc"], frame["packed"], frame["spans"]):
+            for doc, none, packed, found in zip(frame["doc"], frame["none"], frame["packed"], frame["spans"]):
                 data = np.frombuffer(unpack(packed), np.uint8)
                 gone = superkmers.covered(len(data), found, WINDOW)
                 starts = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
-                out.append((None if doc == NO_ID else doc, len(data), int(gone.sum()), starts, data[~gone].tobytes()))
+                out.append((None if none else doc, len(data), int(gone.sum()), starts, data[~gone].tobytes()))
             made = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-            yield made.astype({"doc_id": "Int64"})
+            yield made.assign(doc_id=pd.array([r[0] for r in out], "Int64"))
 
-    return superkmers.with_spans(docs, spans).mapInPandas(
+    return superkmers.with_spans(texts, spans).mapInPandas(
         run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )
 

@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 
 from retail_stream.llm.common import chunks, doc_key, stored
 
-# A place is version (23 bits of a hash of the text) << 32 | position; rows of one id stay apart by it.
-POSITION_BITS = 32
+# Ids met more than once go to the texts up to this many bytes; beyond it both are shuffled.
+BROADCAST_BYTES = 32 << 20
+ID_BYTES = 16
 # A minimiser with more different super-k-mers than this is settled by window hashes over many tasks.
 HOT = 2000
-RUNS = "m bigint, sk bigint, o int, n int, first_doc bigint, first_place bigint"
+RUNS = "m bigint, sk bigint, o int, n int, first_doc bigint, first_version bigint, first_place bigint"
+PLACES = "m bigint, sk bigint, doc bigint, version bigint, at bigint"
 P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,14 +119,27 @@ def super_kmers(units: np.ndarray, offsets: np.ndarray, window: int, gram: int):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc, version, text: a null text is empty, a null id ranks last."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    version = F.xxhash64(text).bitwiseAND((1 << 23) - 1)
-    return docs.select(doc_key().alias("doc"), version.alias("version"), text.alias("text"))
-
+    """doc_id, doc, version, text: a null text is empty, a null id ranks last (with 2^63-1).
 
-def compressed(docs: DataFrame) -> DataFrame:
-    """doc, version, packed: the UTF-8 text compressed, for the joins that move whole texts."""
+    Rows of one id stay apart by version, the 64-bit hash of their text; the version of a row whose id is
+    met once is 0, which costs the joins nothing.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), doc_key().alias("doc"), text.alias("text"))
+    again = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("doc").alias("again"))
+    again = stored(again, "repeated-ids")
+    n = again.count()
+    if not n:
+        return rows.select("doc_id", "doc", F.lit(0).cast("bigint").alias("version"), "text")
+    if n * ID_BYTES <= BROADCAST_BYTES:
+        again = F.broadcast(again)
+    version = F.when(F.col("again").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0))
+    joined = rows.join(again, F.col("doc") == F.col("again"), "left")
+    return joined.select("doc_id", "doc", version.cast("bigint").alias("version"), "text")
+
+
+def compressed(texts: DataFrame) -> DataFrame:
+    """doc_id, doc, version, packed: the UTF-8 text compressed, for the joins that move whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -133,9 +148,10 @@ def compressed(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             packed = pa.array([packer.compress(x.as_buffer()) for x in texts], pa.binary())
-            yield pa.record_batch([batch.column("doc"), batch.column("version"), packed], ["doc", "version", "packed"])
+            names = ["doc_id", "doc", "version"]
+            yield pa.record_batch([*[batch.column(c) for c in names], packed], [*names, "packed"])
 
-    return keyed(docs).mapInArrow(run, "doc bigint, version bigint, packed binary")
+    return texts.mapInArrow(run, "doc_id bigint, doc bigint, version bigint, packed binary")
 
 
 def unpacker() -> Callable[[bytes], bytes]:
@@ -159,8 +175,8 @@ def _routes(m: np.ndarray, at: np.ndarray) -> np.ndarray:
     return routes
 
 
-def repeated(docs: DataFrame, units: Units) -> DataFrame:
-    """m, sk, doc, at: the super-k-mers whose minimiser occurs more than once; at is place << 8 | n,
+def repeated(texts: DataFrame, units: Units) -> DataFrame:
+    """PLACES of the super-k-mers whose minimiser occurs more than once; at is position << 8 | n,
     and n windows are fewer than the window is long (at most 255)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +186,12 @@ def repeated(docs: DataFrame, units: Units) -> DataFrame:
                 hashes, offsets = units.split(part.column("text"))
                 text, position, n, m, sk = super_kmers(hashes, offsets, units.window, units.gram)
                 doc, version = (part.column(c).to_numpy(zero_copy_only=False)[text] for c in ("doc", "version"))
-                place = (version << POSITION_BITS) | position
-                parts.append((m, sk, doc, (place << 8) | n))
-            m, sk, doc, at = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 4
+                parts.append((m, sk, doc, version, (position << 8) | n))
+            m, sk, doc, version, at = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 5
+            routes = pa.array(_routes(m, at ^ doc ^ version), pa.int32())
             yield pa.record_batch(
-                [pa.array(x, pa.int64()) for x in (m, sk, doc, at)] + [pa.array(_routes(m, at ^ doc), pa.int32())],
-                ["m", "sk", "doc", "at", "route"],
+                [*[pa.array(x, pa.int64()) for x in (m, sk, doc, version, at)], routes],
+                ["m", "sk", "doc", "version", "at", "route"],
             )
 
     def more_than_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,38 +214,37 @@ def repeated(docs: DataFrame, units: Units) -> DataFrame:
             kept = last.column("route")[0].as_py() != 0 or last.column("m")[0].as_py() == before
             yield last.filter(pa.array([kept])).drop_columns(["route"])
 
-    rows = keyed(docs).mapInArrow(scan, "m bigint, sk bigint, doc bigint, at bigint, route int")
+    rows = texts.select("doc", "version", "text").mapInArrow(scan, f"{PLACES}, route int")
     met = rows.repartition("m", F.greatest("route", F.lit(0))).sortWithinPartitions("m", "route")
-    return stored(met.mapInArrow(more_than_once, "m bigint, sk bigint, doc bigint, at bigint"), "super-kmers")
+    return stored(met.mapInArrow(more_than_once, PLACES), "super-kmers")
 
 
-def packed_strings(docs: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
-    """m, sk, doc, place, n, packed: the units of the wanted super-k-mers, cut from their texts."""
-    lists = wanted.groupBy("doc", F.shiftright("at", 8 + POSITION_BITS).alias("version")).agg(
-        F.collect_list(F.struct("m", "sk", "at")).alias("items")
-    )
+def packed_strings(texts: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
+    """m, sk, doc, version, place, n, packed: the units of the wanted super-k-mers, cut from their texts."""
+    lists = wanted.groupBy("doc", "version").agg(F.collect_list(F.struct("m", "sk", "at")).alias("items"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = unpacker()
         for frame in frames:
             out = []
-            for doc, packed, items in zip(frame["doc"], frame["packed"], frame["items"]):
+            for doc, version, packed, items in zip(frame["doc"], frame["version"], frame["packed"], frame["items"]):
                 ready = units.prepare(unpack(packed))
                 for x in items:
-                    place, n = x["at"] >> 8, x["at"] & 255
-                    a = place & ((1 << POSITION_BITS) - 1)
-                    out.append((x["m"], x["sk"], doc, place, n, units.cut(ready, a, a + n + units.window - 1)))
-            yield pd.DataFrame(out, columns=["m", "sk", "doc", "place", "n", "packed"])
+                    a, n = x["at"] >> 8, x["at"] & 255
+                    out.append((x["m"], x["sk"], doc, version, a, n, units.cut(ready, a, a + n + units.window - 1)))
+            yield pd.DataFrame(out, columns=["m", "sk", "doc", "version", "place", "n", "packed"])
 
-    joined = compressed(docs).join(lists, ["doc", "version"]).select("doc", "packed", "items")
-    return joined.mapInPandas(cut, "m bigint, sk bigint, doc bigint, place bigint, n int, packed binary")
+    joined = compressed(texts).join(lists, ["doc", "version"]).select("doc", "version", "packed", "items")
+    return joined.mapInPandas(
+        cut, "m bigint, sk bigint, doc bigint, version bigint, place bigint, n int, packed binary"
+    )
 
 
-def runs(first: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(o, n, doc, place) of the runs of windows whose first places follow one another."""
+def runs(first: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(o, n, doc, version, place) of the runs of windows whose first places follow one another."""
     o = 0
     for i in range(1, len(first) + 1):
-        if i == len(first) or first[i][0] != first[o][0] or first[i][1] - first[o][1] != i - o:
+        if i == len(first) or first[i][:2] != first[o][:2] or first[i][2] - first[o][2] != i - o:
             yield o, i - o, *first[o]
             o = i
 
@@ -242,33 +257,37 @@ def _by_hash(strings: DataFrame, units: Units) -> DataFrame:
             out = []
             for row in frame.itertuples(index=False):
                 for o, w in enumerate(units.windows(row.packed, row.n)):
-                    out.append((row.m, row.sk, o, blake2b(w, digest_size=16).digest(), row.doc, row.place + o))
-            yield pd.DataFrame(out, columns=["m", "sk", "o", "w", "doc", "place"])
+                    out.append((row.m, row.sk, o, blake2b(w, digest_size=16).digest(), row.doc, row.version, row.place + o))
+            yield pd.DataFrame(out, columns=["m", "sk", "o", "w", "doc", "version", "place"])
 
     rows = stored(
-        strings.mapInPandas(explode, "m bigint, sk bigint, o int, w binary, doc bigint, place bigint"), "hot-windows"
+        strings.mapInPandas(
+            explode, "m bigint, sk bigint, o int, w binary, doc bigint, version bigint, place bigint"
+        ), "hot-windows"
     )
-    first = rows.groupBy("w").agg(F.min(F.struct("doc", "place")).alias("f"))
+    first = rows.groupBy("w").agg(F.min(F.struct("doc", "version", "place")).alias("f"))
     return rows.join(first, "w").select(
-        "m", "sk", "o", F.lit(1).alias("n"), F.col("f.doc").alias("first_doc"), F.col("f.place").alias("first_place")
+        "m", "sk", "o", F.lit(1).alias("n"), F.col("f.doc").alias("first_doc"),
+        F.col("f.version").alias("first_version"), F.col("f.place").alias("first_place"),
     )
 
 
-def removed_windows(docs: DataFrame, units: Units, settle: Callable[[DataFrame], DataFrame], same_doc: bool, hot: int = HOT) -> DataFrame:
-    """doc, version, spans: (start, n) runs of windows that occur earlier: in a smaller doc, or with
+def removed_windows(texts: DataFrame, units: Units, settle: Callable[[DataFrame], DataFrame], same_doc: bool, hot: int = HOT) -> DataFrame:
+    """doc, version, spans: (start, n) runs of windows of ``keyed`` texts that occur earlier: in a smaller doc, or with
     ``same_doc`` also earlier in the same one. ``settle`` turns packed strings of buckets of at most
     ``hot`` different super-k-mers into rows of RUNS."""
-    places = repeated(docs, units)
-    first = places.groupBy("m", "sk").agg(F.min(F.struct("doc", "at")).alias("f")).select("m", "sk", "f.doc", "f.at")
+    places = repeated(texts, units)
+    first = places.groupBy("m", "sk").agg(F.min(F.struct("doc", "version", "at")).alias("f")).select("m", "sk", "f.*")
     first = stored(first, "first-places")
     counts = first.groupBy("m").agg(F.count(F.lit(1)).alias("different"))
     first = first.join(counts, "m")
     alone = first.filter("different = 1").select(
         "m", "sk", F.lit(0).alias("o"), F.col("at").bitwiseAND(255).cast("int").alias("n"),
-        F.col("doc").alias("first_doc"), F.shiftright("at", 8).alias("first_place"),
+        F.col("doc").alias("first_doc"), F.col("version").alias("first_version"),
+        F.shiftright("at", 8).alias("first_place"),
     )
     several = first.filter("different > 1")
-    strings = stored(packed_strings(docs, several.select("m", "sk", "doc", "at"), units), "packed")
+    strings = stored(packed_strings(texts, several.select("m", "sk", "doc", "version", "at"), units), "packed")
     large = counts.filter(F.col("different") > hot).select("m")
     usual = settle(strings.join(large, "m", "left_anti"))
     hashed = _by_hash(strings.join(large, "m", "left_semi"), units)
@@ -276,12 +295,13 @@ def removed_windows(docs: DataFrame, units: Units, settle: Callable[[DataFrame],
     place = F.shiftright("at", 8) + F.col("o")
     earlier = F.col("first_doc") < F.col("doc")
     if same_doc:
-        earlier |= (F.col("first_doc") == F.col("doc")) & (F.col("first_place") < place)
-    position = place.bitwiseAND((1 << POSITION_BITS) - 1)
+        before = (F.col("first_version") == F.col("version")) & (F.col("first_place") < place)
+        before |= F.col("first_version") < F.col("version")
+        earlier |= (F.col("first_doc") == F.col("doc")) & before
     return (
         places.join(known, ["m", "sk"])
         .filter(earlier)
-        .select("doc", F.shiftright("at", 8 + POSITION_BITS).alias("version"), F.struct(position.alias("start"), "n").alias("span"))
+        .select("doc", "version", F.struct(place.alias("start"), "n").alias("span"))
         .groupBy("doc", "version")
         .agg(F.collect_set("span").alias("spans"))
     )
@@ -298,6 +318,7 @@ def covered(n_units: int, spans, window: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc, packed text, spans for every input row."""
-    return compressed(docs).join(spans, ["doc", "version"], "left").select("doc", "packed", "spans")
+def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc, none (whether the id is null), packed text, spans for every input row."""
+    joined = compressed(texts).join(spans, ["doc", "version"], "left")
+    return joined.select("doc", F.isnull("doc_id").alias("none"), "packed", "spans")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_stream.llm import superkmers
-from retail_stream.llm.common import NO_ID, bounds, whole_groups
+from retail_stream.llm.common import bounds, whole_groups
 
 WINDOW = 50
 GRAM = 20
@@ -51,18 +51,18 @@ def settle(strings: DataFrame) -> DataFrame:
             for a, b in bounds(frame, ["m"]):
                 rows = list(frame.iloc[a:b].itertuples(index=False))
                 ordered = sorted(
-                    (w, row.doc, row.place + o, i, o)
+                    (w, row.doc, row.version, row.place + o, i, o)
                     for i, row in enumerate(rows) for o, w in enumerate(_windows(row.packed, row.n))
                 )
                 first = [[None] * row.n for row in rows]
                 window = None
-                for w, doc, place, i, o in ordered:
+                for w, *place, i, o in ordered:
                     if w != window:
-                        window, least = w, (doc, place)
+                        window, least = w, tuple(place)
                     first[i][o] = least
                 for row, f in zip(rows, first):
                     out.extend((row.m, row.sk, *r) for r in superkmers.runs(f))
-            yield pd.DataFrame(out, columns=["m", "sk", "o", "n", "first_doc", "first_place"])
+            yield pd.DataFrame(out, columns=["m", "sk", "o", "n", "first_doc", "first_version", "first_place"])
 
     return strings.repartition("m").sortWithinPartitions("m").mapInPandas(run, superkmers.RUNS)
 
@@ -74,21 +74,22 @@ def remove_repeats(docs: DataFrame, hot: int = superkmers.HOT) -> DataFrame:
     the words of windows whose words also start in a document of smaller doc_id; a null id ranks after
     all others, rows of equal id do not affect each other. Null, empty or short texts lose nothing.
     """
-    spans = superkmers.removed_windows(docs, WORDS, settle, same_doc=False, hot=hot)
+    texts = superkmers.keyed(docs)
+    spans = superkmers.removed_windows(texts, WORDS, settle, same_doc=False, hot=hot)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = superkmers.unpacker()
         for frame in frames:
             out = []
-            for doc, packed, found in zip(frame["doc"], frame["packed"], frame["spans"]):
+            for doc, none, packed, found in zip(frame["doc"], frame["none"], frame["packed"], frame["spans"]):
                 words = unpack(packed).split()
                 gone = superkmers.covered(len(words), found, WINDOW)
                 left = [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
-                out.append((None if doc == NO_ID else doc, len(words), int(gone.sum()), b" ".join(left).decode()))
+                out.append((None if none else doc, len(words), int(gone.sum()), b" ".join(left).decode()))
             made = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
-            yield made.astype({"doc_id": "Int64"})
+            yield made.assign(doc_id=pd.array([r[0] for r in out], "Int64"))
 
-    return superkmers.with_spans(docs, spans).mapInPandas(
+    return superkmers.with_spans(texts, spans).mapInPandas(
         run, "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     )
 
