@@ -34,7 +34,7 @@ def test_hot_minimiser_is_counted_in_one_row_per_batch(spark):
     """Copies of one text: the rows that meet in a reducer are few, and all copies are found."""
     base = cases.hard_documents()[0][1]
     docs = [(i, base, None, None, None) for i in range(3000)]
-    places = superkmers.repeated(cases.frame(spark, docs), word_windows.WORDS)
+    places = superkmers.repeated(superkmers.keyed(cases.frame(spark, docs)), word_windows.WORDS)
     per_doc = len({r.m for r in places.filter("doc = 0").collect()})
     assert places.count() >= 3000 * per_doc > 0
     found = word_windows.remove_repeats(cases.frame(spark, docs))
@@ -78,3 +78,26 @@ def test_induced_sort(base, limit):
             a, b = whole[p : p + depth], whole[q : q + depth]
             same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
             assert a <= b and shared == same
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_versions_that_agree_in_23_bits(spark, monkeypatch, broadcast):
+    """Texts without an id, or of one id, whose hashes agree in their lower bits stay apart."""
+    if not broadcast:
+        monkeypatch.setattr(superkmers, "BROADCAST_BYTES", 0)
+    base = cases.hard_documents()[0][1]
+    other = " ".join(base.split()[40:140])
+    tail = spark.range(40_000).selectExpr(
+        f"id", f"concat('{other} ', id) AS text", f"xxhash64(concat('{other} ', id)) & {(1 << 23) - 1} AS low"
+    )
+    pairs = tail.groupBy("low").agg({"text": "min", "*": "count"}).filter("`count(1)` > 1").collect()
+    low = pairs[0].low
+    clash = [r.text for r in tail.filter(f"low = {low}").collect()]
+    whole = [(1, base), (2, base + " end"), *[(None, t) for t in clash], *[(7, t) for t in clash], (2**63 - 1, other), (2**53 + 1, "few")]
+    docs = [(d, t, None, None, None) for d, t in whole]
+    found = word_windows.digest(word_windows.remove_repeats(cases.frame(spark, docs)))
+    want = cases.window_dedup([d for d in docs])
+    assert cases.rows_of(found, *WORDS) == want
+    got = byte_windows.remove_repeats(cases.frame(spark, docs)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(d[0]) for d in docs)
+    assert all(r.n_removed >= len(other) for r in got if r.doc_id in (None, 7))
