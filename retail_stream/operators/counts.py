@@ -64,13 +64,22 @@ def realtime_total(dau: DataFrame, date: str) -> DataFrame:
         F.count_if(_is_day(date)).alias("new_mids"),
     )
 
+    return totals.select(_totals_text().alias("json"))
+
+
+def _totals_text() -> Column:
     def item(id_: str, label: str, value: str) -> Column:
         return F.struct(
             F.lit(id_).alias("id"), F.lit(label).alias("name"), F.col(value).alias("value")
         )
 
-    items = F.array(item(DAU_ID, DAU_LABEL, "total"), item(NEW_ID, NEW_LABEL, "new_mids"))
-    return totals.select(F.to_json(items).alias("json"))
+    return F.to_json(F.array(item(DAU_ID, DAU_LABEL, "total"), item(NEW_ID, NEW_LABEL, "new_mids")))
+
+
+def totals_json(total: DataFrame, new: DataFrame) -> DataFrame:
+    """``realtime_total`` from one row with the day's ``total`` and one with its ``new_mids``."""
+    one = F.lit(1).alias("one")
+    return total.select("total", one).join(new.select("new_mids", one), "one").select(_totals_text().alias("json"))
 
 
 def hours_today_yesterday(dau: DataFrame, date: str) -> DataFrame:

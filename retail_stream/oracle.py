@@ -321,6 +321,12 @@ def all_sql() -> dict[str, str]:
         "new_devices": _sql(f"SELECT ({_NEW}) AS new_mids", "dau"),
         "realtime_total": total,
         "stored_realtime_total": total,
+        "stored_new_devices": _sql(f"SELECT ({_NEW}) AS new_mids", "dau"),
+        "stored_first_days": _sql(
+            """SELECT first_day, count(*) AS new_mids
+               FROM (SELECT mid, min(log_date) AS first_day FROM dau GROUP BY mid) GROUP BY first_day""",
+            "dau",
+        ),
         "hours_today_yesterday": _sql(
             f"""SELECT coalesce(a.log_hour, b.log_hour) AS log_hour,
                        coalesce(a.n, 0) AS yesterday, coalesce(b.n, 0) AS today

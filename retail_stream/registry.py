@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_stream import schemas
+from retail_stream import schemas, session
 from retail_stream.functions import columns as C
 from retail_stream.functions import records
 from retail_stream.operators import alerts, cdc, counts, dedup, routing, sales
@@ -478,9 +478,47 @@ def stream_dau_zone(spark, sf_dir):
     return tables.read_table(spark, tables.DAU, path)
 
 
+ROCKSDB = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _first_days_by_stream(spark, sf_dir, messages: DataFrame | None = None) -> str:
+    path = scratch_dir(spark, "stream-first-days")
+    if messages is None:
+        messages = _messages(given.startup_payload(spark, sf_dir), schemas.STARTUP)
+    before = spark.conf.get(ROCKSDB, None)
+    spark.conf.set(ROCKSDB, session.SETTINGS[ROCKSDB])
+
+    def start():
+        raw = sources.read_topic(spark, schemas.STARTUP, "json", _json(path))
+        return jobs.stream_first_days(raw, f"{path}/first", f"{path}/checkpoint", jobs.AVAILABLE_NOW)
+
+    try:
+        replay(messages, f"{path}/topics", start, HARD_PARTS)
+    finally:
+        spark.conf.unset(ROCKSDB) if before is None else spark.conf.set(ROCKSDB, before)
+    return f"{path}/first"
+
+
 @query
 def stored_realtime_total(spark, sf_dir):
-    return dashboard.realtime_total(spark, _dau_by_stream(spark, sf_dir, 2), DAY)
+    active = _dau_by_stream(spark, sf_dir, 2)
+    return dashboard.realtime_total(spark, active, _first_days_by_stream(spark, sf_dir), DAY)
+
+
+@query
+def stored_new_devices(spark, sf_dir):
+    return dashboard.new_devices(spark, _first_days_by_stream(spark, sf_dir), DAY)
+
+
+@query
+def stored_first_days(spark, sf_dir):
+    """New devices of every day, from messages delivered out of order: later days of a device are known
+    before earlier ones."""
+    payload = given.startup_payload(spark, sf_dir)
+    shuffled = F.timestamp_seconds(F.pmod(F.xxhash64("mid", "ts", "uid"), F.lit(1_000_000)))
+    messages = _messages(payload.withColumn("arrival_ts", shuffled), schemas.STARTUP)
+    rows = tables.read_table(spark, tables.FIRST_DAYS, _first_days_by_stream(spark, sf_dir, messages))
+    return rows.filter("present").groupBy("first_day").agg(F.count("*").alias("new_mids"))
 
 
 @query
@@ -490,16 +528,14 @@ def stored_realtime_hours(spark, sf_dir):
 
 @query
 def compacted_dau(spark, sf_dir):
-    """Earlier batches compacted, later ones read beside the base."""
-    path, base = scratch_dir(spark, "dau"), scratch_dir(spark, "dau-base")
+    """Earlier batches merged day by day, later ones read beside them."""
+    path = scratch_dir(spark, "dau")
     logs = given.startup_logs(spark, sf_dir)
-    last = None
     for number in range(4):
         part = dedup.first_starts(logs.filter(F.pmod(F.col("ts"), F.lit(4)) == number))
         tables.write_batch(part, tables.DAU, path, number)
-        if number == 2:
-            last = tables.compact_table(spark, tables.DAU, path, base)
-    return tables.read_compacted(spark, tables.DAU, base, path, last)
+        tables.compact_table(spark, tables.DAU, path, fan=2)
+    return tables.read_table(spark, tables.DAU, path)
 
 
 @query

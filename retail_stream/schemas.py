@@ -98,6 +98,7 @@ _TYPES: dict[str, T.DataType] = {
     "bigint": T.LongType(),
     "int": T.IntegerType(),
     "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
     "array<string>": T.ArrayType(T.StringType()),
 }

@@ -21,7 +21,7 @@ from retail_stream.operators import alerts, routing, sales
 from retail_stream.plans import ingest, records
 from retail_stream.sinks import tables, topics
 from retail_stream.sources import topics as sources
-from retail_stream.streaming import operators
+from retail_stream.streaming import keyed_state, operators
 
 Trigger = dict[str, Any]
 
@@ -75,7 +75,7 @@ def stream_ingest_logs(
             rejects = routing.rejects(logs).select(
                 F.lit("logs").alias("topic"), "value", F.lit("malformed").alias("reason"), "arrival_ts"
             )
-            tables.write_batch(rejects, tables.REJECTS, rejects_path, batch_id)
+            tables.write_batch(rejects, tables.REJECTS, rejects_path, batch_id, fan=tables.FAN)
         finally:
             logs.unpersist()
 
@@ -98,7 +98,8 @@ def stream_ingest_changes(
         batch = batch.persist()
         try:
             topics.write_topics(ingest.ingest_changes(batch, pattern, prefix), fmt, topic_options, batch_id)
-            tables.write_batch(sources.quarantine_changes(batch), tables.REJECTS, rejects_path, batch_id)
+            bad = sources.quarantine_changes(batch)
+            tables.write_batch(bad, tables.REJECTS, rejects_path, batch_id, fan=tables.FAN)
         finally:
             batch.unpersist()
 
@@ -129,8 +130,9 @@ def stream_dau(
     """Start messages to the table of daily active devices.
 
     Update mode gives every device that a batch mentions. Only those whose first start is new or
-    earlier than stored are written, so the table grows with devices and not with starts. The batch's
-    own folder is not looked at: a repeated batch writes the same rows again.
+    earlier than stored are written, so the table grows with devices and not with starts. Stored rows are
+    those of the batch's days; the commit log names their folders, and merging keeps these few. The batch's
+    own rows are not looked at: a repeated batch writes the same rows again.
     """
     spark = raw.sparkSession
     tables.create_table(spark, tables.DAU, path)
@@ -143,7 +145,8 @@ def stream_dau(
             same = ["log_date", "mid", "ts", "uid"]
             known = stored.select(*[F.col(c).alias(f"s_{c}") for c in same])
             equal = reduce(and_, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in same])
-            tables.write_batch(batch.join(known, equal, "left_anti"), tables.DAU, path, batch_id, rows_per_file)
+            new = batch.join(known, equal, "left_anti")
+            tables.write_batch(new, tables.DAU, path, batch_id, rows_per_file, tables.FAN)
         finally:
             batch.unpersist()
 
@@ -151,6 +154,20 @@ def stream_dau(
     return _start(first, write, checkpoint, trigger, "update")
 
 
+def stream_first_days(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = EVERY_5_SECONDS,
+    rows_per_file: int = tables.ROWS_PER_FILE,
+) -> StreamingQuery:
+    """Start messages to the table of first days. A batch writes devices that are new, or whose first day
+    turns out to be earlier, whatever else it has."""
+    tables.create_table(raw.sparkSession, tables.FIRST_DAYS, path)
+    found = keyed_state.first_days(records.startup_logs(raw))
+    return _start(found, tables.batch_writer(tables.FIRST_DAYS, path, rows_per_file), checkpoint, trigger, "update")
+
+
 def stream_order_facts(
     raw: DataFrame,
     path: str,
@@ -170,7 +187,7 @@ def stream_users(
     """User messages to the user table the sale job looks users up in."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.write_batch(sales.user_snapshot(batch), tables.USERS, path, batch_id)
+        tables.write_batch(sales.user_snapshot(batch), tables.USERS, path, batch_id, fan=tables.FAN)
 
     return _start(records.users(raw), write, checkpoint, trigger)
 
@@ -202,17 +219,15 @@ def stream_sale_detail(
     def write(batch: DataFrame, batch_id: int) -> None:
         once = sales.one_sale_each(batch).persist()
         try:
-            # A batch that only ends state has nothing to look up. The count also gives Spark the size
-            # of the ids: by its own threshold they are broadcast to the scan of the users, or shuffled.
+            # A batch that only ends state has nothing to look up.
             if once.count():
-                stored = tables.read_rows(spark, tables.USERS, users_path)
-                ids = once.select(F.col("user_id").alias("id")).distinct()
-                users = tables.one_per_key(stored.join(ids, "id", "left_semi"), tables.USERS)
+                users = tables.lookup(spark, tables.USERS, users_path, once.select(F.col("user_id").alias("id")))
                 day = F.current_date() if as_of is None else as_of
                 rows = sales.enrich_users(once, users, day)
             else:
                 rows = once.withColumns({"user_gender": nothing, "user_age": F.lit(0), "user_level": nothing})
-            tables.write_batch(sales.with_document_id(rows), tables.SALES, path, batch_id, rows_per_file)
+            rows = sales.with_document_id(rows)
+            tables.write_batch(rows, tables.SALES, path, batch_id, rows_per_file, tables.FAN)
         finally:
             once.unpersist()
 

@@ -1,11 +1,12 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from retail_stream import schemas
 from retail_stream.plans import dashboard
 from retail_stream.scratch import SETTING, scratch_dir
-from retail_stream.sinks import tables, topics
+from retail_stream.sinks import commits, files, tables, topics
 from retail_stream.sources import topics as sources
 from test_dau import logs
 
@@ -40,23 +41,130 @@ def test_earliest_start_of_all_batches(spark):
     assert [r.ts for r in rows.collect()] == [3]
 
 
-def test_compaction_keeps_the_result(spark):
-    path, base = written(spark, "many"), written(spark, "few")
+def shown(frame):
+    return sorted((r.mid, r.ts) for r in frame.collect())
+
+
+def test_merging_keeps_the_result_and_running_readers(spark):
+    path = written(spark, "many")
+    for batch in range(5):
+        rows = logs(spark, ("2024-01-01", "a", 9 - batch), ("2024-01-01", f"n{batch}", 1), ("2024-01-02", "a", batch))
+        tables.write_batch(rows, tables.DAU, path, batch)
+    running = tables.read_table(spark, tables.DAU, path)
+    before = commits.latest(spark, path)
+    want = shown(tables.read_table(spark, tables.DAU, path))
+    assert tables.compact_table(spark, tables.DAU, path, fan=4) == 8
+    after = commits.latest(spark, path)
+    assert [(f.value, f.level, f.batch) for f in sorted(after.folders, key=lambda f: (f.level, f.value))] == [
+        ("2024-01-01", 0, 4), ("2024-01-02", 0, 4), ("2024-01-01", 1, 3), ("2024-01-02", 1, 3)
+    ]
+    assert shown(running) == shown(tables.read_table(spark, tables.DAU, path)) == want
+    assert tables.read_rows(spark, tables.DAU, path).count() == 5 + 2 + 2
+    # The newest batch may be written again, by a query that was stopped before it had noted it down.
+    tables.write_batch(logs(spark, ("2024-01-01", "z", 1)), tables.DAU, path, 4)
+    assert shown(tables.read_table(spark, tables.DAU, path, days=["2024-01-01"])) == [
+        ("a", 6), ("n0", 1), ("n1", 1), ("n2", 1), ("n3", 1), ("z", 1)
+    ]
+    assert tables.read_rows(spark, tables.DAU, path, after=3).count() == 1
+    assert tables.vacuum(spark, path) == 0 and shown(running) == want
+    assert tables.vacuum(spark, path, keep_seconds=0) == len(before.folders)
+    assert tables.read_table(spark, tables.DAU, path).count() == 7
+    assert commits.latest(spark, path).gone == ()
+
+
+def test_rows_without_a_key_are_merged_once(spark):
+    path = written(spark, "rejects")
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    bad = spark.createDataFrame([("a/b=c", "x", "malformed", at), (None, "y", "r", at)], tables.REJECTS.schema)
     for batch in range(3):
-        tables.write_batch(
-            logs(spark, ("2024-01-01", "a", 9 - batch), ("2024-01-01", f"n{batch}", 1)),
-            tables.DAU, path, batch,
+        tables.write_batch(bad, tables.REJECTS, path, batch, fan=2)
+    rows = tables.read_table(spark, tables.REJECTS, path)
+    assert sorted(((r.topic or "", r.value) for r in rows.collect())) == [("", "y")] * 3 + [("a/b=c", "x")] * 3
+    assert {f.value for f in commits.latest(spark, path).folders} == {"a/b=c", None}
+
+
+def test_last_delivery_wins_after_merges(spark):
+    """Ties in arrival go to the later batch, merged or not."""
+    path = written(spark, "ties")
+    for batch in range(6):
+        tables.write_batch(versions(spark, ("1", f"s{batch}", "2024-01-02", 5)), tables.ORDERS, path, batch, fan=2)
+    assert [r.order_status for r in tables.read_table(spark, tables.ORDERS, path).collect()] == ["s5"]
+    assert max(f.level for f in commits.latest(spark, path).folders) >= 1
+
+
+def test_folders_stay_few_over_five_hundred_batches(spark):
+    """Commits of the DAU job at one batch every 5 s; merges as the job asks for them. What a reader of the
+    day plans with, and what is read of the log, does not grow with the batches."""
+    path = written(spark, "log")
+    planned, read = [], []
+    for batch in range(500):
+        day = f"2024-01-{1 + batch // 100:02}"
+        added = commits.Folder(f"part={batch}/log_date={day}", batch, day, day, day)
+        commits.commit(spark, path, lambda now: commits.Change((added,), batch=batch))
+        while merged := commits.due(commits.latest(spark, path), tables.FAN):
+            one = commits.Folder(f"part=m{batch}-{merged[0].level}/log_date={merged[0].value}", -1, merged[0].value)
+            some = [f for f in merged if f.value == one.value]
+            out = tuple(f.path for f in some)
+            commits.commit(spark, path, lambda now: commits.Change(commits.raised([one], some), out))
+        now = commits.latest(spark, path)
+        planned.append(len(commits.of_days(now.folders, [day])))
+        if batch % 50 == 49:
+            asked = []
+            text = files.read_text
+            try:
+                files.read_text = lambda s, p: asked.append(p) or text(s, p)
+                commits._seen.clear()  # as another process would read it
+                commits.latest(spark, path)
+            finally:
+                files.read_text = text
+            read.append(len(asked))
+    assert max(planned) <= 2 * tables.FAN and max(planned[400:]) <= max(planned[:100])
+    assert max(read) <= commits.SNAPSHOT_EVERY + 4
+    assert len(commits.latest(spark, path).folders) <= 5 * 2 * tables.FAN
+    rows = [f.batch for f in commits.latest(spark, path).folders]
+    assert max(rows) == 499
+
+
+def test_two_writers_at_once(spark):
+    """Commits made from several threads: none is lost, none is made twice."""
+    path = written(spark, "race")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(
+            lambda n: commits.commit(
+                spark, path, lambda now: commits.Change((commits.Folder(f"part={n}", n),), batch=n)
+            ), range(40),
+        ))
+    now = commits.latest(spark, path)
+    assert now.number == 39 and sorted(f.batch for f in now.folders) == list(range(40))
+
+
+def test_users_are_looked_up_in_their_buckets(spark, settings):
+    path = written(spark, "users")
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    users = spark.range(20_000).select(
+        F.col("id").cast("string").alias("id"), F.lit("n").alias("login_name"), F.lit("1").alias("user_level"),
+        F.lit("1990-01-01").alias("birthday"), F.lit("F").alias("gender"), F.lit(at).alias("arrival_ts"),
+    )
+    tables.write_batch(users, tables.USERS, path, 0)
+    newer = users.filter("id % 2000 = 7").withColumn("user_level", F.lit("2"))
+    tables.write_batch(newer.withColumn("arrival_ts", F.lit(at + dt.timedelta(days=1))), tables.USERS, path, 1)
+    assert len({f.value for f in commits.latest(spark, path).folders}) == tables.USERS.buckets
+    ids = spark.createDataFrame([("7",), ("2007",), ("8",), ("none",), (None,), ("7",)], "id string")
+    few = tables.lookup(spark, tables.USERS, path, ids)
+    many = tables.lookup(spark, tables.USERS, path, ids, most=2)
+    for found in (few, many):
+        assert sorted((r.id, r.user_level) for r in found.collect()) == [("2007", "2"), ("7", "2"), ("8", "1")]
+        read = {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()}
+        assert len(read) <= 4
+    line = scan(few)[0]
+    assert "PushedFilters: [In(id" in line or "EqualTo(id" in line or "Or(" in line
+    footer = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+            spark._jvm.org.apache.hadoop.fs.Path(few.inputFiles()[0]), spark._jsc.hadoopConfiguration()
         )
-    last = tables.compact_table(spark, tables.DAU, path, base)
-    assert last == 2 and tables.read_rows(spark, tables.DAU, base).count() == 4
-    tables.write_batch(logs(spark, ("2024-01-01", "z", 1), ("2024-01-01", "a", 6)), tables.DAU, path, 3)
-    both = tables.read_compacted(spark, tables.DAU, base, path, last)
-    assert sorted((r.mid, r.ts) for r in both.collect()) == [
-        ("a", 6), ("n0", 1), ("n1", 1), ("n2", 1), ("z", 1)
-    ]
-    later = tables.read_rows(spark, tables.DAU, path, after=last)
-    assert later.count() == 2
-    assert any("batch_id" in x.split("PartitionFilters")[1].split("PushedFilters")[0] for x in scan(later))
+    ).getFooter()
+    assert footer.getBlocks().get(0).getColumns().get(0).getBloomFilterOffset() > 0
+    assert tables.lookup(spark, tables.USERS, path, ids.limit(0)).count() == 0
 
 
 def test_writers_follow_the_rows(spark):
@@ -115,7 +223,15 @@ def test_a_day_reads_its_folders_and_columns_only(spark):
     assert "log_date" in line.split("PartitionFilters")[1]
     assert "area" not in line.split("ReadSchema")[1]
     assert dashboard.dau_hourly(spark, path, "2024-01-03").first().ct == 2
-    assert '"value":2' in dashboard.realtime_total(spark, path, "2024-01-01").first().json
+    first = written(spark, "first-days")
+    rows = [("2024-01-03", "a", True), ("2024-01-04", "b", True), ("2024-01-03", "b", True), ("2024-01-04", "b", False)]
+    tables.write_table(spark.createDataFrame(rows, tables.FIRST_DAYS.schema), tables.FIRST_DAYS, first)
+    both = dashboard.realtime_total(spark, path, first, "2024-01-03")
+    assert both.first().json.count('"value":2') == 2
+    for found in (both, dashboard.new_devices(spark, first, "2024-01-03")):
+        assert found.inputFiles() and all("=2024-01-03/" in f for f in found.inputFiles())
+    assert dashboard.new_devices(spark, first, "2024-01-04").first().new_mids == 0
+    assert dashboard.new_devices(spark, first, "no day").first().new_mids == 0
 
 
 def test_orders_lie_by_month_and_filter_by_day(spark):
