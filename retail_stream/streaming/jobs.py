@@ -250,5 +250,5 @@ def stream_coupon_alert(
     Append mode: an alert is written when its window has closed, since a click may still cancel it.
     """
     events = alerts.with_event_time(records.event_logs(raw)).withWatermark("event_time", delay)
-    found = alerts.coupon_alerts(events, window, slide, min_accounts)
+    found = operators.coupon_alerts(events, window, slide, min_accounts)
     return _start(found, tables.batch_writer(tables.ALERTS, path), checkpoint, trigger)
