@@ -52,6 +52,13 @@ def parse(raw: DataFrame, topic: Topic) -> DataFrame:
     return _decode(raw, topic).filter(_usable(topic)).drop("value", CORRUPT)
 
 
+def with_event_time(raw: DataFrame, topic: Topic) -> DataFrame:
+    """``value``, maybe ``arrival_ts``, and the ``event_time`` of messages that can be used and have a ``ts``."""
+    rows = _decode(raw, topic).filter(_usable(topic) & F.col("ts").isNotNull())
+    rest = [c for c in raw.columns if c == "arrival_ts"]
+    return rows.select("value", *rest, C.event_time("ts").alias("event_time"))
+
+
 def quarantine(raw: DataFrame, topic: Topic) -> DataFrame:
     """The rows ``parse`` leaves out: ``topic``, ``value``, ``reason`` and maybe ``arrival_ts``."""
     decoded = _decode(raw, topic).filter(~_usable(topic))

@@ -321,6 +321,26 @@ def all_sql() -> dict[str, str]:
         "new_devices": _sql(f"SELECT ({_NEW}) AS new_mids", "dau"),
         "realtime_total": total,
         "stored_realtime_total": total,
+        "stream_late_rows": _sql(
+            """SELECT 'start' AS topic, 'late' AS reason, mid, uid, ts
+               FROM (SELECT *, max(ts) OVER (ORDER BY part RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+                     FROM (SELECT *, (SELECT count(*) FROM range(1, 5) t(i) WHERE came >= low + (high - low) * i // 5) AS part
+                           FROM (SELECT *, min(came) OVER () AS low, max(came) OVER () AS high
+                                 FROM (SELECT *, (ts + CASE WHEN uid::BIGINT % 7 = 0 THEN 518400000 ELSE 0 END) * 1000 AS came
+                                       FROM startup))))
+               WHERE ts < before - 86400000""",
+            "startup",
+        ),
+        "stream_held_values": _sql(
+            """SELECT key, probe, asked, CASE WHEN asked - last <= 259200000 THEN item END AS value
+               FROM (SELECT mid AS key, concat_ws('-', uid, pgid) AS probe, ts AS asked,
+                            (SELECT max(w.ts) FROM logev w WHERE w.mid = c.mid AND w.evid = 'coupon' AND w.ts < c.ts) AS last,
+                            (SELECT max(coalesce(w.itemid, '')) FROM logev w WHERE w.mid = c.mid AND w.evid = 'coupon'
+                             AND w.ts = (SELECT max(v.ts) FROM logev v WHERE v.mid = c.mid AND v.evid = 'coupon'
+                                         AND v.ts < c.ts)) AS item
+                     FROM logev c WHERE evid = 'clickItem')""",
+            "logev",
+        ),
         "stored_new_devices": _sql(f"SELECT ({_NEW}) AS new_mids", "dau"),
         "stored_first_days": _sql(
             """SELECT first_day, count(*) AS new_mids

@@ -24,7 +24,7 @@ from retail_stream.scratch import scratch_dir
 from retail_stream.sinks import tables, topics
 from retail_stream.sources import testdata as given
 from retail_stream.sources import topics as sources
-from retail_stream.streaming import jobs, operators
+from retail_stream.streaming import jobs, keyed_state, operators
 from retail_stream.streaming.replay import arrival_bounds, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,6 +521,57 @@ def stored_first_days(spark, sf_dir):
     return rows.filter("present").groupBy("first_day").agg(F.count("*").alias("new_mids"))
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """A seventh of the devices reports six days late; late is what lies a day or more behind."""
+    path = scratch_dir(spark, "stream-late")
+    slow = F.pmod(F.col("uid").cast("bigint"), F.lit(7)) == 0
+    arrival = F.timestamp_millis("ts") + F.when(slow, F.expr("INTERVAL 6 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    payload = given.startup_payload(spark, sf_dir).withColumn("arrival_ts", arrival)
+
+    def start():
+        raw = sources.read_topic(spark, schemas.STARTUP, "json", _json(path))
+        return jobs.stream_late_rows(
+            raw, schemas.STARTUP, f"{path}/late", f"{path}/checkpoint", "1 DAY", jobs.AVAILABLE_NOW
+        )
+
+    replay(_messages(payload, schemas.STARTUP), f"{path}/topics", start, HARD_PARTS)
+    rows = tables.read_table(spark, tables.REJECTS, f"{path}/late")
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return rows.select("topic", "reason", field("mid").alias("mid"), field("uid").alias("uid"), field("ts").cast("bigint").alias("ts"))
+
+
+HOLD_SECONDS = 3 * 86400
+
+
+@query
+def stream_held_values(spark, sf_dir):
+    """For every click, the item of the last coupon on the device, if that was at most three days ago. Every
+    coupon of a device prolongs its state."""
+    path = scratch_dir(spark, "stream-held")
+    messages = _messages(given.event_payload(spark, sf_dir), schemas.EVENT)
+    before = spark.conf.get(ROCKSDB, None)
+    spark.conf.set(ROCKSDB, session.SETTINGS[ROCKSDB])
+
+    def start():
+        raw = sources.read_topic(spark, schemas.EVENT, "json", _json(path))
+        logs = alerts.with_event_time(record_plans.event_logs(raw)).withWatermark("event_time", "1 minute")
+        write = F.col("evid") == alerts.COUPON
+        rows = logs.filter(F.col("evid").isin(alerts.COUPON, alerts.CLICK)).select(
+            F.col("mid").alias("key"), "event_time", write.alias("write"),
+            F.when(write, F.col("itemid")).otherwise(F.concat_ws("-", "uid", "pgid")).alias("value"),
+        )
+        held = keyed_state.held_values(rows, HOLD_SECONDS)
+        writer = held.writeStream.outputMode("append").option("checkpointLocation", f"{path}/checkpoint")
+        return writer.trigger(**jobs.AVAILABLE_NOW).format("parquet").start(f"{path}/out")
+
+    try:
+        replay(messages, f"{path}/topics", start, HARD_PARTS)
+    finally:
+        spark.conf.unset(ROCKSDB) if before is None else spark.conf.set(ROCKSDB, before)
+    return spark.read.parquet(f"{path}/out")
+
+
 @query
 def stored_realtime_hours(spark, sf_dir):
     return dashboard.realtime_hours(spark, _dau_by_stream(spark, sf_dir, 2), "dau", DAY)

@@ -62,6 +62,24 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(where) if s.isDirectory())
 
 
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files with rows right below a path."""
+    system, where = _at(spark, path)
+    names = [s.getPath().getName() for s in system.listStatus(where) if s.isFile()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to a place that has none. One that has been moved before stays where it is."""
+    system, where = _at(spark, source)
+    place = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if system.exists(place) or not system.exists(where):
+        return
+    system.mkdirs(place.getParent())
+    if not system.rename(where, place):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all it holds."""
     system, where = _at(spark, path)

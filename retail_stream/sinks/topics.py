@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_stream.sinks import files
 from retail_stream.sources.topics import TIME_OPTIONS
 
 
 # Rows of a batch that go into one file of each folder.
 ROWS_PER_FILE = 500_000
+# Where files wait until their batch is noted down, and the notes. Readers skip both names.
+STAGED, NOTES = "_staged", "_batches"
 
 
 @contextmanager
@@ -29,16 +34,45 @@ def _in_few_files(rows: DataFrame) -> Iterator[DataFrame]:
             rows.unpersist()
 
 
+def _publish(spark: SparkSession, path: str, staged: str, batch_id: int, writer: str) -> None:
+    """Move the files of a batch to their folders, once.
+
+    The first attempt of a batch that has written all its files notes them down. Whatever happens later,
+    only files of this note are ever moved, each to a place of its own; an attempt that finds the note ends
+    what the first one began and drops what it has written itself. So readers of the folders, streams among
+    them, get every row of a batch once.
+    """
+    note = f"{path}/{NOTES}/{writer}/{batch_id}.json"
+    moves = [
+        (f"{staged}/{folder}/{name}", f"{path}/{folder}/batch_id={batch_id}/{writer}-{number:05}{suffix(name)}")
+        for folder in files.folders_in(spark, staged)
+        for number, name in enumerate(files.files_in(spark, f"{staged}/{folder}"))
+    ]
+    files.write_text(spark, note, json.dumps(moves))
+    noted = json.loads(files.read_text(spark, note))
+    for source, target in noted:
+        files.move(spark, source, target)
+    for folder in {staged, *("/".join(source.split("/")[:-2]) for source, _ in noted)}:
+        files.remove(spark, folder)
+
+
+def suffix(name: str) -> str:
+    """The ending of a file name from its first dot on."""
+    return name[name.index("."):] if "." in name else ""
+
+
 def write_topics(
     messages: DataFrame,
     fmt: str = "kafka",
     options: Mapping[str, str] | None = None,
     batch_id: int = 0,
+    writer: str = "main",
 ) -> None:
     """Send each row's ``value`` to its ``topic``.
 
-    The file form writes ``<path>/topic=<name>/batch_id=<n>`` and replaces just the folders of this
-    batch, so a repeated batch leaves the same content.
+    The file form puts files into ``<path>/topic=<name>/batch_id=<n>``, those of a batch of a writer once
+    and no more, however often the batch is repeated or broken off. Two jobs that send to one path need
+    different names of ``writer``.
     """
     options = dict(options or {})
     if fmt == "kafka":
@@ -47,28 +81,18 @@ def write_topics(
     if fmt != "json":
         raise ValueError(f"unknown message format: {fmt!r}")
     path = options.pop("path")
+    staged = f"{path}/{STAGED}/{uuid.uuid4().hex}"
     with _in_few_files(messages.select("topic", "value", "arrival_ts")) as few:
-        (
-            few.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**TIME_OPTIONS)
-            .options(**options)
-            .partitionBy("topic", "batch_id")
-            .json(path)
-        )
-
-
-def archive_logs(messages: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Every stamped log as one JSON line in a folder per day and batch."""
+        few.write.options(**TIME_OPTIONS).options(**options).partitionBy("topic").json(staged)
+    _publish(messages.sparkSession, path, staged, batch_id, writer)
+
+
+def archive_logs(messages: DataFrame, path: str, batch_id: int = 0, writer: str = "main") -> None:
+    """Every stamped log as one JSON line in a folder per day and batch, once like ``write_topics``."""
+    staged = f"{path}/{STAGED}/{uuid.uuid4().hex}"
     with _in_few_files(messages.select("log_date", "value")) as few:
-        (
-            few.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("log_date", "batch_id")
-            .text(path)
-        )
+        few.write.partitionBy("log_date").text(staged)
+    _publish(messages.sparkSession, path, staged, batch_id, writer)
 
 
 def read_archive(spark, path: str, date: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ from retail_stream import schemas
 from retail_stream.functions import records as parsing
 from retail_stream.operators import alerts, routing, sales
 from retail_stream.plans import ingest, records
-from retail_stream.sinks import tables, topics
+from retail_stream.sinks import files, tables, topics
 from retail_stream.sources import topics as sources
 from retail_stream.streaming import keyed_state, operators
 
@@ -30,6 +30,8 @@ EVERY_5_SECONDS: Trigger = {"processingTime": "5 seconds"}
 EVERY_3_SECONDS: Trigger = {"processingTime": "3 seconds"}
 # --- end of fixed values -------------------------------------------------------------------------
 
+# Notes of earlier batches that stay; a batch that is repeated is the last one.
+NOTES_KEPT = 8
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
 
@@ -70,7 +72,7 @@ def stream_ingest_logs(
         logs = routing.stamped(batch).persist()
         try:
             messages = routing.messages(logs, prefix)
-            topics.write_topics(messages, fmt, topic_options, batch_id)
+            topics.write_topics(messages, fmt, topic_options, batch_id, "logs")
             topics.archive_logs(messages, archive_path, batch_id)
             rejects = routing.rejects(logs).select(
                 F.lit("logs").alias("topic"), "value", F.lit("malformed").alias("reason"), "arrival_ts"
@@ -97,7 +99,8 @@ def stream_ingest_changes(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            topics.write_topics(ingest.ingest_changes(batch, pattern, prefix), fmt, topic_options, batch_id)
+            changes = ingest.ingest_changes(batch, pattern, prefix)
+            topics.write_topics(changes, fmt, topic_options, batch_id, "changes")
             bad = sources.quarantine_changes(batch)
             tables.write_batch(bad, tables.REJECTS, rejects_path, batch_id, fan=tables.FAN)
         finally:
@@ -119,6 +122,48 @@ def stream_rejects(
     )
 
 
+def stream_late_rows(
+    raw: DataFrame,
+    topic: schemas.Topic,
+    path: str,
+    checkpoint: str,
+    delay: str = "10 minutes",
+    trigger: Trigger = EVERY_5_SECONDS,
+) -> StreamingQuery:
+    """Messages whose event time lies more than ``delay`` before the latest of earlier micro-batches, to the
+    rejects with the reason ``late``: what a stateful job with this delay may leave out of its results.
+
+    The bound is the job's own. Each batch notes the latest event time up to it beside the table; the next
+    one reads the note, and so does a batch that is repeated, which therefore splits alike.
+    """
+    spark = raw.sparkSession
+    tables.create_table(spark, tables.REJECTS, path)
+    wait = F.expr(f"INTERVAL {delay}")
+
+    def note(batch_id: int) -> str:
+        return f"{path}/_bounds/{batch_id}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            text = files.read_text(spark, note(batch_id - 1))
+            before = int(text) if text else None
+            own = batch.agg(F.max(F.unix_micros("event_time"))).first()[0]
+            bound = F.timestamp_micros(F.lit(before).cast("bigint")) - wait  # null before the first note
+            late = batch.filter(F.col("event_time") < bound)
+            rows = late.select(
+                F.lit(topic.name).alias("topic"), "value", F.lit("late").alias("reason"), "arrival_ts"
+            )
+            tables.write_batch(rows, tables.REJECTS, path, batch_id, fan=tables.FAN)
+            latest = max((t for t in (before, own) if t is not None), default="")
+            files.write_text(spark, note(batch_id), str(latest), replace=True)
+            files.remove(spark, note(batch_id - NOTES_KEPT))
+        finally:
+            batch.unpersist()
+
+    return _start(parsing.with_event_time(raw, topic), write, checkpoint, trigger)
+
+
 def stream_dau(
     raw: DataFrame,
     path: str,

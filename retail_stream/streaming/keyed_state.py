@@ -69,7 +69,7 @@ class _Held(StatefulProcessor):
             self._value.update((value, until))
             self._handle.registerTimer(until)
         if out:
-            yield pd.DataFrame(out, columns=["key", "probe", "at", "value"])
+            yield pd.DataFrame(out, columns=["key", "probe", "asked", "value"])
 
     def handleExpiredTimer(self, key: tuple, timers: TimerValues, expired) -> Iterator[pd.DataFrame]:
         self._value.clear()
@@ -80,7 +80,7 @@ class _Held(StatefulProcessor):
 
 
 def held_values(rows: DataFrame, seconds: int) -> DataFrame:
-    """What a keyed value was when it was asked for: key, probe, at, value.
+    """What a keyed value was when it was asked for: key, probe, asked (ms), value.
 
     ``rows`` are a stream of key, event_time (with a watermark), ``write`` and ``value``. A write holds for
     ``seconds`` after its time, bounds included; a later write of the key takes its place and prolongs it.
@@ -91,5 +91,5 @@ def held_values(rows: DataFrame, seconds: int) -> DataFrame:
         "key", "event_time", "write", "value", "unix_millis(event_time) AS at"
     )
     return timed.groupBy("key").transformWithStateInPandas(
-        _Held(seconds * 1000), "key string, probe string, at bigint, value string", "Append", "EventTime"
+        _Held(seconds * 1000), "key string, probe string, asked bigint, value string", "Append", "EventTime"
     )
