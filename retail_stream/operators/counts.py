@@ -78,8 +78,8 @@ def _totals_text() -> Column:
 
 def totals_json(total: DataFrame, new: DataFrame) -> DataFrame:
     """``realtime_total`` from one row with the day's ``total`` and one with its ``new_mids``."""
-    one = F.lit(1).alias("one")
-    return total.select("total", one).join(new.select("new_mids", one), "one").select(_totals_text().alias("json"))
+    both = total.select("total").unionByName(new.select("new_mids"), allowMissingColumns=True)
+    return both.agg(F.max("total").alias("total"), F.max("new_mids").alias("new_mids")).select(_totals_text().alias("json"))
 
 
 def hours_today_yesterday(dau: DataFrame, date: str) -> DataFrame:

@@ -16,7 +16,7 @@ class _FirstDay(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._day = handle.getValueState("first_day", "day string")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         known = self._day.get()[0] if self._day.exists() else None
         day = min((d for frame in rows for d in frame["log_date"].dropna()), default=None)
         if day is None or known is not None and known <= day:
@@ -52,7 +52,7 @@ class _Held(StatefulProcessor):
         self._handle = handle
         self._value = handle.getValueState("value", "value string, until bigint")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         value, until = self._value.get() if self._value.exists() else (None, None)
         frames = [f for f in rows]
         frame = pd.concat(frames).sort_values(["at", "write", "value"], kind="stable")
@@ -71,7 +71,7 @@ class _Held(StatefulProcessor):
         if out:
             yield pd.DataFrame(out, columns=["key", "probe", "asked", "value"])
 
-    def handleExpiredTimer(self, key: tuple, timers: TimerValues, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._value.clear()
         return iter([])
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from retail_stream import schemas
 from retail_stream.functions import records
 from retail_stream.operators import sales
+from retail_stream.plans import dashboard
 from retail_stream.plans.dau import daily_active
 from retail_stream.scratch import scratch_dir
-from retail_stream.sinks import tables, topics
+from retail_stream.sinks import files, tables, topics
 from retail_stream.sources import topics as sources
-from retail_stream.streaming import jobs, operators
+from retail_stream.streaming import jobs, keyed_state, operators
 
 DAY = 1_704_067_200_000
 START = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
@@ -352,3 +353,110 @@ def test_stream_join_equals_batch_join(spark):
     batch = sales.join_sales(plans.orders(orders(spark, *some)), plans.details(details(spark, *lines)))
     key = lambda rows: sorted((r.order_id, r.order_detail_id) for r in rows)
     assert key(bus.table(tables.SALES).collect()) == key(batch.collect()) != []
+
+
+def test_a_message_is_delivered_once_however_often_its_batch_breaks(spark, monkeypatch):
+    """A writer is stopped between its files; a reader runs before and after it is repeated."""
+    path = scratch_dir(spark, "test-once")
+    rows = spark.range(3_000).selectExpr(
+        "concat('t', id % 3) AS topic", "concat('m', id) AS value", "timestamp_millis(id) AS arrival_ts"
+    ).repartition(3)
+    moved = files.move
+
+    def broken(*a):
+        broken.left -= 1
+        if broken.left < 0:
+            raise OSError("stopped")
+        moved(*a)
+
+    def read():
+        raw = sources.read_messages(spark, "t0", "json", {"path": path})
+        out = raw.writeStream.option("checkpointLocation", f"{path}-c").trigger(**jobs.AVAILABLE_NOW)
+        out.format("parquet").start(f"{path}-out").awaitTermination()
+        return sorted(r.value for r in spark.read.parquet(f"{path}-out").collect())
+
+    topics.write_topics(rows.filter("value = 'm0'"), "json", {"path": path}, 0)
+    assert read() == ["m0"]
+    for left in (1, 2):
+        broken.left = left
+        monkeypatch.setattr(files, "move", broken)
+        with pytest.raises(OSError):
+            topics.write_topics(rows.repartition(2), "json", {"path": path}, 1)
+        monkeypatch.setattr(files, "move", moved)
+        read()
+    topics.write_topics(rows.repartition(5), "json", {"path": path}, 1)
+    topics.write_topics(rows, "json", {"path": path}, 1)
+    assert read() == sorted(["m0", *[f"m{i}" for i in range(0, 3000, 3)]])
+    for other in ("t1", "t2"):
+        assert sources.read_messages(spark, other, "json", {"path": path}, streaming=False).count() == 1000
+
+
+def test_first_day_moves_to_an_earlier_one(spark):
+    bus = Bus(spark, "first-days")
+    for batch in ([("a", "u", DAY + 2 * 86_400_000), ("b", "u", DAY)], [("a", "u", DAY + 86_400_000)],
+                  [("a", "u", DAY + 3 * 86_400_000), ("b", "u", DAY)], [("a", "u", DAY), ("a", "v", DAY + 86_400_000)]):
+        bus.send(starts(spark, *batch))
+        bus.run(jobs.stream_first_days, bus.read(schemas.STARTUP))
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    assert [dashboard.new_devices(spark, f"{bus.path}/out", d).first().new_mids for d in days] == [2, 0, 0, 0]
+    # Devices that were known and bring nothing earlier are not written again.
+    assert tables.read_rows(spark, tables.FIRST_DAYS, f"{bus.path}/out").count() == 2 + 2 + 0 + 2
+
+
+def test_a_second_write_prolongs_a_value(spark):
+    path = scratch_dir(spark, "test-held")
+    steps = [
+        [("k", 0, True, "x"), ("k", 10, False, "p10"), ("k", 20, True, "y"), ("w", 0, True, ""), ("v", 1, True, "")],
+        [("k", 29, False, "p29"), ("k", 30, False, "p30"), ("other", 30, False, "q")],
+        [("k", 31, False, "p31"), ("k", 40, True, "z"), ("k", 40, False, "p40"), ("k", 50, False, "p50")],
+        [("far", 500, True, "end")],
+        [("far", 600, True, "end")],
+    ]
+    sizes = []
+    for number, rows in enumerate(steps):
+        data = [(k, at(s), w, v) for k, s, w, v in rows]
+        made = spark.createDataFrame(data, "key string, event_time timestamp, write boolean, value string")
+        made.coalesce(1).write.parquet(f"{path}/in/{number}")
+        stream = spark.readStream.schema(made.schema).parquet(f"{path}/in/*").withWatermark("event_time", "1 second")
+        query = keyed_state.held_values(stream, 10).writeStream.outputMode("append").format("parquet").option(
+            "checkpointLocation", f"{path}/c").trigger(**jobs.AVAILABLE_NOW).start(f"{path}/out")
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    found = {r.probe: r.value for r in spark.read.parquet(f"{path}/out").collect()}
+    assert found == {"p10": "x", "p29": "y", "p30": "y", "q": None, "p31": None, "p40": None, "p50": "z"}
+    assert sizes[0] == 3 and sizes[-1] == 1
+
+
+def test_late_rows_come_out_with_a_reason(spark):
+    bus = Bus(spark, "late")
+    hour = 3_600_000
+    batches = [[("a", "u", DAY)], [("b", "u", DAY + 5 * hour), ("c", "u", DAY + 2 * hour)],
+               [("d", "u", DAY + 4 * hour), ("e", "u", DAY + 3 * hour), ("f", "u", DAY)], [("g", "u", DAY + 4 * hour - 1)]]
+    for batch in batches:
+        bus.send(starts(spark, *batch))
+        bus.run(lambda raw, *a, **k: jobs.stream_late_rows(raw, schemas.STARTUP, *a, delay="1 HOUR", **k), bus.read(schemas.STARTUP))
+    rows = bus.table(tables.REJECTS).collect()
+    assert {r.reason for r in rows} == {"late"} and {r.topic for r in rows} == {"start"}
+    assert sorted(r.value.split('"mid":"')[1][0] for r in rows) == ["e", "f", "g"]
+
+
+def test_alert_state_does_not_grow_with_accounts(spark):
+    """A device with 50,000 accounts and a click: what is kept for its windows has one row each."""
+    bus = Bus(spark, "many-accounts")
+    claims = spark.range(50_000).select(
+        F.lit("m").alias("mid"), F.col("id").cast("string").alias("uid"), F.lit("coupon").alias("evid"),
+        F.lit("1").alias("itemid"), F.lit(DAY).alias("ts"), F.timestamp_millis(F.lit(DAY)).alias("arrival_ts"),
+    )
+    bus.send(records.to_messages(claims, schemas.EVENT).unionByName(events(spark, ("m", "x", "clickItem", 0))))
+    query = jobs.stream_coupon_alert(
+        bus.read(schemas.EVENT), f"{bus.path}/out", f"{bus.path}/checkpoint", jobs.AVAILABLE_NOW
+    )
+    query.awaitTermination()
+    first = next(p for p in query.recentProgress if p["numInputRows"])
+    by_name = {}
+    for s in first["stateOperators"]:
+        by_name.setdefault(s["operatorName"], []).append(s["numRowsTotal"])
+    assert sorted(by_name["stateStoreSave"]) == [0, 10]
+    bus.send(events(spark, ("far", "x", "other", 86_400)))
+    bus.run(jobs.stream_coupon_alert, bus.read(schemas.EVENT))
+    assert bus.table(tables.ALERTS).count() == 0
