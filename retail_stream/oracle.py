@@ -266,6 +266,19 @@ def all_sql() -> dict[str, str]:
                FROM rawlog""",
             "rawlog",
         ),
+        "stream_ingest_outputs": _sql(
+            """SELECT CASE WHEN event_type = 'signup' THEN 'start' ELSE 'event' END AS output, value::VARCHAR AS value
+               FROM rawlog
+               UNION ALL SELECT 'archive ' || strftime(ts, '%Y-%m-%d'), value::VARCHAR FROM rawlog
+               UNION ALL SELECT 'rejects logs malformed', value FROM damaged WHERE event_type = 'error'""",
+            "rawlog", "damaged",
+        ),
+        "raw_text_intake": _sql(
+            """SELECT 'start' AS topic, mid, uid, type, area, true AS stamped FROM startup
+               UNION ALL SELECT 'event', mid, uid, type, area, true FROM logev
+               WHERE evid <> 'signup'""",
+            "startup", "logev",
+        ),
         "rejected_logs": _sql(
             "SELECT 'event' AS topic, value FROM damaged WHERE event_type = 'error'", "damaged"
         ),

@@ -34,6 +34,7 @@ BATCH_CUT_MS = 1705320000000  # 2024-01-15 12:00 UTC
 ALERT_WINDOW = "2 hours"
 ALERT_SLIDE = "30 minutes"
 HARD_PARTS = 5  # micro-batches of the replays with repeated, broken or shifted messages
+FEBRUARY_2024_MS = 1706745600000
 FAR_AHEAD_MS = 4102444800000  # 2100-01-01 UTC
 
 _QUERIES: dict[str, Query] = {}
@@ -429,6 +430,48 @@ def stream_ingest_logs(spark, sf_dir):
     return daily_active(starts)
 
 
+@query
+def stream_ingest_outputs(spark, sf_dir):
+    """All that the intake job leaves, raw and broken lines together: both topics, the archive, the rejects."""
+    path = scratch_dir(spark, "stream-ingest-all")
+    raw = given.raw_logs(spark, sf_dir).select("value", "arrival_ts")
+    broken = given.damaged_logs(spark, sf_dir).filter(~F.endswith("value", F.lit("}"))).select("value", "arrival_ts")
+    messages = raw.unionByName(broken).select(F.lit("logs").alias("topic"), "value", "arrival_ts")
+
+    def start():
+        logs = sources.read_messages(spark, "logs", "json", {"path": f"{path}/raw"})
+        return jobs.stream_ingest_logs(
+            logs, _json(path), f"{path}/archive", f"{path}/rejects", f"{path}/checkpoint",
+            fmt="json", trigger=jobs.AVAILABLE_NOW,
+        )
+
+    replay(messages, f"{path}/raw", start, HARD_PARTS)
+    found = [
+        sources.read_topic(spark, t, "json", _json(path), streaming=False).select(F.lit(t.name).alias("output"), "value")
+        for t in (schemas.STARTUP, schemas.EVENT)
+    ]
+    archive = topics.read_archive(spark, f"{path}/archive")
+    found.append(archive.select(F.concat(F.lit("archive "), "log_date").alias("output"), "value"))
+    rejects = tables.read_table(spark, tables.REJECTS, f"{path}/rejects")
+    found.append(rejects.select(F.concat_ws(" ", F.lit("rejects"), "topic", "reason").alias("output"), "value"))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@query
+def raw_text_intake(spark, sf_dir):
+    """Logs as lines of text files, stamped with the time their file arrived, and routed. That time differs
+    from run to run; all else is compared."""
+    path = scratch_dir(spark, "raw-lines")
+    given.raw_logs(spark, sf_dir).select("value").write.text(path)
+    found = routing.route_logs(sources.read_raw_logs(spark, path))
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    same_day = F.col("log_date") == C.log_date(field("ts").cast("bigint"))
+    return found.select(
+        "topic", *[field(n).alias(n) for n in ("mid", "uid", "type", "area")],
+        (same_day & (field("ts").cast("bigint") > FEBRUARY_2024_MS)).alias("stamped"),
+    )
+
+
 @query
 def stream_ingest_changes(spark, sf_dir):
     """Changes, broken ones among them, through the intake job: what is on the topics."""

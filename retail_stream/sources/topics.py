@@ -50,8 +50,13 @@ def read_topic(
     options: Mapping[str, str] | None = None,
     streaming: bool = True,
     prefix: str = "",
+    most: int | None = None,
 ) -> DataFrame:
-    """Messages of a topic of the registry."""
+    """Messages of a topic of the registry. ``most`` bounds what a micro-batch takes in, so that a backlog is
+    worked off in steps: messages of a Kafka topic, files of a topic of files."""
+    options = dict(options or {})
+    if most is not None and streaming:
+        options["maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"] = str(most)
     return read_messages(spark, full_name(topic, prefix), fmt, options, streaming)
 
 

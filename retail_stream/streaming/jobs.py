@@ -46,6 +46,24 @@ def _start(
     return writer.trigger(**trigger).foreachBatch(write).start()
 
 
+def batch_parts(query: StreamingQuery) -> list[dict[str, int]]:
+    """What each micro-batch did and how long its parts took, from the progress reports Spark keeps of the
+    query (``spark.sql.streaming.numRecentProgressUpdates``): ``batch``, ``rows``, ``late`` (rows left out),
+    ``state_rows``, ``state_commit`` (of all tasks) and Spark's own parts, of which ``triggerExecution`` is
+    the whole and ``addBatch`` the work; times in ms."""
+    found = []
+    for progress in query.recentProgress:
+        state = progress["stateOperators"]
+        found.append({
+            "batch": progress["batchId"], "rows": progress["numInputRows"],
+            "late": sum(s["numRowsDroppedByWatermark"] for s in state),
+            "state_rows": sum(s["numRowsTotal"] for s in state),
+            "state_commit": sum(s["commitTimeMs"] for s in state),
+            **progress["durationMs"],
+        })
+    return found
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came after the watermark had passed them and were left out, over the progress reports
     Spark keeps of the query (``spark.sql.streaming.numRecentProgressUpdates``)."""

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -460,3 +461,25 @@ def test_alert_state_does_not_grow_with_accounts(spark):
     bus.send(events(spark, ("far", "x", "other", 86_400)))
     bus.run(jobs.stream_coupon_alert, bus.read(schemas.EVENT))
     assert bus.table(tables.ALERTS).count() == 0
+
+
+def test_live_trigger_works_a_backlog_off_in_bounded_steps(spark):
+    """A processing-time run: six files, two for each micro-batch, whose parts are reported."""
+    bus = Bus(spark, "live")
+    for n in range(6):
+        bus.send(starts(spark, *[(f"d{n}-{i}", "u", DAY + n) for i in range(10)]))
+    raw = sources.read_topic(spark, schemas.STARTUP, "json", {"path": f"{bus.path}/topics"}, most=2)
+    query = jobs.stream_dau(raw, f"{bus.path}/out", f"{bus.path}/checkpoint", {"processingTime": "1 second"})
+    try:
+        for _ in range(240):
+            if sum(p["rows"] for p in jobs.batch_parts(query)) >= 60:
+                break
+            time.sleep(0.5)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    worked = [p for p in jobs.batch_parts(query) if p["rows"]]
+    assert [p["rows"] for p in worked] == [20, 20, 20]
+    assert worked[-1]["state_rows"] == 60 and all(p["late"] == 0 for p in worked)
+    assert all(p["triggerExecution"] >= p["addBatch"] > 0 for p in worked)
+    assert bus.table(tables.DAU).count() == 60
