@@ -58,14 +58,14 @@ def alerting_windows(panes: DataFrame, length: int, step: int, pane: int, min_ac
     """
     at = F.col("pane") * pane
     last = F.floor(at / step)
-    claims = panes.filter(F.col("account").isNotNull()).select("mid", "account", "pane").distinct()
-    before = F.lag("pane").over(Window.partitionBy("mid", "account").orderBy("pane")) * pane
-    claims = claims.withColumn("first", F.floor(F.greatest(at - length, before) / step) + 1)  # a null is no bound
-    clicks = panes.filter(F.col("evid") == CLICK).select("mid", "pane").distinct()
-    clicks = clicks.withColumn("first", F.floor((at - length) / step) + 1)
-    both = claims.select("mid", "pane", "first", F.lit(1).alias("n")).unionByName(
-        clicks.select("mid", "pane", "first", F.lit(0).alias("n"))
-    )
+    clicked = F.col("evid") == CLICK
+    marks = panes.filter(clicked | F.col("account").isNotNull()).select(
+        "mid", "pane", "account", F.when(clicked, F.col("pane")).alias("click")
+    ).distinct()
+    # A click counts for itself: its pane before is none.
+    before = F.lag("pane").over(Window.partitionBy("mid", "account", "click").orderBy("pane")) * pane
+    first = F.floor(F.greatest(at - length, before) / step) + 1  # a null is no bound
+    both = marks.select("mid", "pane", first.alias("first"), F.when(F.col("click").isNull(), 1).otherwise(0).alias("n"))
     starts = F.when(F.col("first") <= last, F.sequence("first", last))
     counted = both.select("mid", "n", F.explode(starts).alias("start")).groupBy("mid", "start").agg(
         F.sum("n").alias("accounts"), F.bool_or(F.col("n") == 0).alias("clicked")
