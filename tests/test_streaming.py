@@ -422,10 +422,12 @@ def test_a_second_write_prolongs_a_value(spark):
         query = keyed_state.held_values(stream, 10).writeStream.outputMode("append").format("parquet").option(
             "checkpointLocation", f"{path}/c").trigger(**jobs.AVAILABLE_NOW).start(f"{path}/out")
         query.awaitTermination()
-        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+        sizes.append((max(kept), kept[-1]))
     found = {r.probe: r.value for r in spark.read.parquet(f"{path}/out").collect()}
     assert found == {"p10": "x", "p29": "y", "p30": "y", "q": None, "p31": None, "p40": None, "p50": "z"}
-    assert sizes[0] == 3 and sizes[-1] == 1
+    # Two of three keys have ended by the close of the first run, "k" by that of the last.
+    assert sizes[0] == (3, 1) and sizes[-1][1] == 1
 
 
 def test_late_rows_come_out_with_a_reason(spark):
