@@ -133,8 +133,12 @@ def _without(text: pd.Series, dropped: pd.Series) -> pd.Series:
     return pd.Series([keep(t, g) for t, g in zip(text, dropped)], dtype=object)
 
 
-def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, general_docs: int = MIN_DOCS) -> DataFrame:
-    """The input rows with text without recurring lines, and n_lines, n_dropped.
+def drop_templates(
+    docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, general_docs: int = MIN_DOCS,
+    counts: bool = True,
+) -> DataFrame:
+    """The input rows with text without recurring lines, and with ``counts`` n_lines and n_dropped, which take
+    the place of columns of these names.
 
     A template in ``min_docs`` (generalised: ``general_docs``) or more documents stays in the first of them, by smallest doc_id, and is
     dropped from the others; so copies lose their lines, and no line is lost altogether. Ids that are
@@ -147,8 +151,11 @@ def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float
     text = F.col("text").cast("string")
     keyed = docs.withColumns({"__doc": doc_key(), "__version": F.xxhash64(F.coalesce(text, F.lit("")))})
     joined = keyed.join(found, ["__doc", "__version"], "left")
-    return joined.withColumns({
-        "n_lines": F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1))).cast("bigint"),
-        "n_dropped": F.coalesce(F.size("__dropped"), F.lit(0)).cast("bigint"),
-        "text": F.when(F.col("__dropped").isNull(), text).otherwise(_without(text, F.col("__dropped"))),
-    }).drop("__doc", "__version", "__dropped")
+    # Only texts that lose a line travel to Python.
+    gone = F.col("__dropped")
+    made = {"text": F.when(gone.isNull(), text).otherwise(_without(F.when(gone.isNotNull(), text), gone))}
+    if counts:
+        breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+        made["n_lines"] = F.when(text.isNull(), 0).otherwise(breaks + 1).cast("bigint")
+        made["n_dropped"] = F.coalesce(F.size(gone), F.lit(0)).cast("bigint")
+    return joined.withColumns(made).drop("__doc", "__version", "__dropped")
