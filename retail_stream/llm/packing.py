@@ -19,6 +19,8 @@ from retail_stream.llm.common import WHITE, bounds, stored, whole_groups
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD_TOKENS = 4_000_000
+# Pieces of a shard at most, on average: short documents are many.
+SHARD_PIECES = 100_000
 PLACED = (
     "doc_id bigint, piece int, start bigint, n_tokens int, shard bigint, bin int, position int, capacity int"
 )
@@ -97,8 +99,8 @@ def best_fit(
     tokens = (word_count() if length is None else length).cast("bigint")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), tokens.alias("tokens"))
     lengths = stored(rows.withColumn("row", F.monotonically_increasing_id()), "lengths")
-    total = lengths.agg(F.sum("tokens")).first()[0] or 0
-    shards = max(1, -(-total // shard_tokens))
+    size = lengths.filter("tokens > 0").agg(F.sum("tokens"), F.sum(F.ceil(F.col("tokens") / most))).first()
+    shards = max(1, -(-(size[0] or 0) // shard_tokens), -(-(size[1] or 0) // SHARD_PIECES))
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("tokens") - 1, F.lit(0)), F.lit(most).cast("bigint"))
     pieces = lengths.filter("tokens > 0").select(
         "doc_id", "row", "tokens", F.posexplode(starts).alias("piece", "start")
