@@ -2,8 +2,9 @@
 
 Strings that may repeat are dealt into shards by minimiser, so equal ones share a shard. A shard's text
 is suffix sorted by external induction (``induced_sort``); neighbours that share 100 bytes are equal
-strings, and the earliest of them stays. A shard may be far larger than memory: its queues lie on disk
-beyond a number of tuples. Only positions, not shards, are joined back.
+strings, and the earliest of them stays. A shard's text and ranks are arrays in memory, its queues lie on
+disk beyond a number of tuples; shards of the size used here stay below that number. Only positions, not
+shards, are joined back.
 """
 
 from __future__ import annotations

@@ -34,6 +34,32 @@ WORD_WINDOWS = f"""
     FROM split LEFT JOIN lost USING (r)"""
 
 
+# Windows are told apart by a 64-bit hash of their bytes in hexadecimal.
+BYTE_WINDOWS = """
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    pieces AS (
+      SELECT r, doc_id, b, substr(h, 2 * b + 1, 2 * 1099) AS h
+      FROM (SELECT r, doc_id, h, unnest(range(0, strlen(h) // 2, 1000)) AS b FROM docs)),
+    windows AS (
+      SELECT r, doc_id, b + j AS i, hash(substr(h, 2 * j + 1, 200)) AS k
+      FROM (SELECT *, unnest(range(0, strlen(h) // 2 - 99)) AS j FROM pieces WHERE strlen(h) >= 200)),
+    firsts AS (SELECT k, min({'d': doc_id, 'i': i}) AS f FROM windows GROUP BY k),
+    gone AS (
+      SELECT r, i FROM windows JOIN firsts USING (k) WHERE f.d < doc_id OR (f.d = doc_id AND f.i < i)),
+    runs AS (
+      SELECT r, i, sum(part) OVER (PARTITION BY r ORDER BY i) AS run
+      FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 100 THEN 0 ELSE 1 END AS part FROM gone)),
+    spans AS (SELECT r, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY r, run),
+    before AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS c FROM spans),
+    kept AS (
+      SELECT r, sum(b - a) AS n, count(*) AS m, max(b) AS last,
+             string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) AS front
+      FROM before JOIN docs USING (r) GROUP BY r)
+    SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(m, 0)::BIGINT AS n_spans,
+           sha256(unhex(CASE WHEN n IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (r)"""
+
+
 def host_rules_sql() -> str:
     """Measures, then counts by host, priors by moments and verdicts, as the operator defines them."""
     fails = {
@@ -187,6 +213,7 @@ def all_sql() -> dict[str, str]:
         "op1_warc": WARC,
         "op3_word_windows": WORD_WINDOWS,
         "op4_host_rules": host_rules_sql(),
+        "op8_byte_windows": BYTE_WINDOWS,
         "op9_decontamination": DECONTAMINATION,
         "op11_filter_audit": filter_audit_sql(),
         "op13_vector_codes": vector_codes_sql(),
