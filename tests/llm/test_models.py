@@ -180,8 +180,9 @@ def test_perplexity_edges(spark, docs):
 # --- line templates --------------------------------------------------------------------------
 
 
-def templates(docs, min_docs=line_templates.MIN_DOCS):
-    """doc_id, text left, lines dropped; the definition with dictionaries."""
+def templates(docs, min_docs=line_templates.MIN_DOCS, general_docs=line_templates.MIN_DOCS):
+    """doc_id, text left, lines dropped; the definition with dictionaries. Lines recur as they stand in
+    ``min_docs`` documents, generalised in ``general_docs``."""
     def masked(line):
         return " ".join(line_templates.FIELD if re.search("[0-9]", w) else w for w in cases.WORD.findall(line))
 
@@ -198,7 +199,7 @@ def templates(docs, min_docs=line_templates.MIN_DOCS):
     name = {m: m for m in seen}
     for (n, lead), group in leaves.items():
         total = sum(len(seen[m]) for m in group)
-        if n < line_templates.MIN_TOKENS or len(group) < 2 or total < min_docs:
+        if n < line_templates.MIN_TOKENS or len(group) < 2 or total < general_docs:
             continue
         weight = Counter()
         for m in group:
@@ -216,8 +217,12 @@ def templates(docs, min_docs=line_templates.MIN_DOCS):
         kept, lines = [], (t or "").split("\n")
         for line in lines:
             m = masked(line)
-            ids = members[name[m]] if m else ()
-            if not (len(ids) >= min_docs and min(ids) < rank(d)):
+            first = []
+            if m and len(seen[m]) >= min_docs:
+                first.append(min(seen[m]))
+            if m and name[m] != m and len(members[name[m]]) >= general_docs:
+                first.append(min(members[name[m]]))
+            if not first or min(first) >= rank(d):
                 kept.append(line)
         out.append((d, "\n".join(kept) if t is not None else None, len(lines) - len(kept)))
     return sorted(out, key=repr)
@@ -235,11 +240,13 @@ def log_documents():
     return rows
 
 
+@pytest.mark.parametrize("counts", [(3, 3), (2, 3)])
 @pytest.mark.parametrize("which", ["given", "hard", "empty", "logs"])
-def test_line_templates(spark, which):
+def test_line_templates(spark, which, counts):
     docs = {"given": cases.documents, "hard": cases.hard_documents, "empty": list, "logs": log_documents}[which]()
-    found = line_templates.drop_templates(cases.frame(spark, docs, clash=True))
-    expected = templates(docs)
+    few, many = counts
+    found = line_templates.drop_templates(cases.frame(spark, docs, clash=True), few, general_docs=many)
+    expected = templates(docs, few, many)
     assert cases.rows_of(found, "doc_id", "text", "n_dropped") == expected
     assert which == "empty" or any(n for *_, n in expected)
     assert "version" in found.columns
