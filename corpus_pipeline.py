@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_stream.llm import decontamination, line_templates, packing, perplexity, simhash
+from retail_stream.llm import decontamination, line_templates, packing, perplexity, simhash, token_counts
 from retail_stream.llm.common import stored, table
 
 
@@ -26,7 +26,8 @@ def _by_version(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the perplexity classifier keeps. The verdict belongs to (text, language)."""
+    """Documents the perplexity classifier keeps; null and empty texts go. The verdict belongs to (text,
+    language), so repeated rows share it; an empty table stays empty."""
     rated = perplexity.classify(docs, table(spark, sf_dir, "labels"))
     gone = rated.filter(~F.col("kept")).select(F.xxhash64("version", "lang").alias("__key")).distinct()
     keyed = _by_version(docs).withColumn("__key", F.xxhash64("__version", F.col("lang").cast("string")))
@@ -34,8 +35,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines whose template recurs. n_chars follows the text."""
-    found = line_templates.drop_templates(docs)
+    """All documents, without lines whose template recurs: from the second document on where the line recurs
+    as it stands. n_chars follows the text; other columns, whatever their names, stay. A null text stays."""
+    found = line_templates.drop_templates(docs, line_templates.LINE_DOCS, counts=False)
     return found.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
@@ -55,15 +57,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item. Null and empty texts have none and stay; repeated
+    rows share their verdict; without items, or documents, nothing goes."""
     found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
     gone = _small(found.filter("contaminated").select(F.col("version").alias("__version")).distinct(), "contaminated")
     return _by_version(docs).join(gone, "__version", "left_anti").drop("__version")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every remaining document goes."""
-    return packing.best_fit(docs)
+    """Where every piece of every remaining document goes, by its encoded tokens and one that ends it. An
+    empty or null text is its end token alone; repeated rows are packed each; an empty table gives no rows."""
+    return packing.best_fit(token_counts.token_lengths(docs), F.col("n_tokens") + 1)
 
 
 STAGES = [
