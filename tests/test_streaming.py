@@ -16,6 +16,7 @@ from retail_stream.scratch import scratch_dir
 from retail_stream.sinks import files, tables, topics
 from retail_stream.sources import topics as sources
 from retail_stream.streaming import jobs, keyed_state, operators
+from retail_stream.streaming.replay import arrival_bounds, replay
 
 DAY = 1_704_067_200_000
 START = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
@@ -485,3 +486,39 @@ def test_live_trigger_works_a_backlog_off_in_bounded_steps(spark):
     assert worked[-1]["state_rows"] == 60 and all(p["late"] == 0 for p in worked)
     assert all(p["triggerExecution"] >= p["addBatch"] > 0 for p in worked)
     assert bus.table(tables.DAU).count() == 60
+
+
+def test_a_replay_computes_and_writes_its_messages_once(spark):
+    path, seen = scratch_dir(spark, "test-replay"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    schema = "topic string, value string, arrival_ts timestamp"
+    made = spark.range(300).selectExpr("'t' AS topic", "concat('m', id) AS value", "timestamp_millis(id) AS arrival_ts")
+    runs = []
+
+    def start():
+        raw = sources.read_messages(spark, "t", "json", {"path": path})
+        out = raw.writeStream.option("checkpointLocation", f"{path}-c").trigger(**jobs.AVAILABLE_NOW)
+        runs.append(out.format("parquet").start(f"{path}-out"))
+        return runs[-1]
+
+    replay(made.mapInArrow(count, schema), path, start, bounds=[100_000, 200_000])
+    assert seen.value == 300
+    assert [sum(p["numInputRows"] for p in q.recentProgress) for q in runs] == [100, 100, 100]
+    assert sorted(r.value for r in spark.read.parquet(f"{path}-out").collect()) == sorted(f"m{i}" for i in range(300))
+    batches = [f"{path}/topic=t/batch_id={i}" for i in range(3)]
+    assert all(name.endswith(".lz4") for b in batches for name in files.files_in(spark, b))
+
+
+def test_parts_of_a_replay_hold_a_bounded_number_of_messages(spark):
+    """Nine tenths arrive in the first second of a year."""
+    rows = spark.range(1000).selectExpr("timestamp_millis(if(id < 900, id, id * 31536000)) AS arrival_ts")
+    assert len(arrival_bounds(rows, 5)) == 4 == len(arrival_bounds(rows, 5, 200))
+    bounds = arrival_bounds(rows, 5, 100)
+    at = sorted(r[0] for r in rows.select(F.unix_micros("arrival_ts")).collect())
+    parts = [sum(lo <= x < hi for x in at) for lo, hi in zip([0, *bounds], [*bounds, 1 << 62])]
+    assert sum(parts) == 1000 and max(parts) <= 110
