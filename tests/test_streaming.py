@@ -522,3 +522,21 @@ def test_parts_of_a_replay_hold_a_bounded_number_of_messages(spark):
     at = sorted(r[0] for r in rows.select(F.unix_micros("arrival_ts")).collect())
     parts = [sum(lo <= x < hi for x in at) for lo, hi in zip([0, *bounds], [*bounds, 1 << 62])]
     assert sum(parts) == 1000 and max(parts) <= 110
+
+
+def test_the_sale_job_runs_no_batch_without_messages(spark):
+    """The watermark moves on after the first batch; an inner join has nothing to give for that."""
+    bus = Bus(spark, "no-empty")
+    people = f"{bus.path}/users"
+    tables.create_table(spark, tables.USERS, people)
+    before = spark.conf.get(jobs.EMPTY_BATCHES)
+    for second in (0, 100_000):
+        bus.send(orders(spark, (f"o{second}", "u", second)).unionByName(details(spark, (f"o{second}", "a", second))))
+        query = jobs.stream_sale_detail(
+            spark, bus.read(schemas.ORDER), bus.read(schemas.DETAIL), people, f"{bus.path}/out",
+            f"{bus.path}/checkpoint", trigger=jobs.AVAILABLE_NOW,
+        )
+        query.awaitTermination()
+        assert {p["batchId"] for p in query.recentProgress if p["durationMs"].get("addBatch")} == {second // 100_000}
+    assert spark.conf.get(jobs.EMPTY_BATCHES) == before
+    assert bus.table(tables.SALES).count() == 2
