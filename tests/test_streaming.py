@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from retail_stream import schemas
@@ -540,3 +541,23 @@ def test_the_sale_job_runs_no_batch_without_messages(spark):
         assert {p["batchId"] for p in query.recentProgress if p["durationMs"].get("addBatch")} == {second // 100_000}
     assert spark.conf.get(jobs.EMPTY_BATCHES) == before
     assert bus.table(tables.SALES).count() == 2
+
+
+def test_first_days_ask_the_state_once_per_device():
+    """Each call is a message to the JVM."""
+    calls = []
+
+    class Day:
+        def get(self):
+            calls.append("get")
+            return ("2024-01-02",)
+
+        def update(self, value):
+            calls.append(value)
+
+    of = keyed_state._FirstDay()
+    of._day = Day()
+    days = lambda *found: [tuple(r) for r in of.handleInputRows(("m",), iter([Row(mid="m", log_date=d) for d in found]), None)]
+    assert days("2024-01-03", "2024-01-02") == [] and calls == ["get"]
+    assert days("2024-01-03", "2024-01-01") == [("2024-01-01", "m", True), ("2024-01-02", "m", False)]
+    assert calls == ["get", "get", ("2024-01-01",)]
