@@ -35,6 +35,8 @@ FAN = 16
 KEEP_SECONDS = 3600.0
 # Keys that are put into the filter of a scan.
 LOOKUP_KEYS = 2000
+# Keys of the days asked for that are sent to all rows; more are shuffled together with them.
+DAY_KEYS = 500_000
 # Rows a micro-batch puts into one file; a folder gets as many files as its rows need.
 ROWS_PER_FILE = 500_000
 
@@ -309,7 +311,11 @@ def present(
     some = _of_days(rows, table, days)
     if table.day in table.key:
         return one_per_key(some, table, columns)
-    wanted = rows.join(some.select(*table.key).distinct(), list(table.key), "left_semi")
+    keys = some.select(*table.key).distinct()
+    # All written rows are held against the keys of a few days, so the keys go to the rows while they are few.
+    if keys.limit(DAY_KEYS + 1).count() <= DAY_KEYS:
+        keys = F.broadcast(keys)
+    wanted = rows.join(keys, list(table.key), "left_semi")
     kept = None if columns is None else [*dict.fromkeys([*columns, table.day])]
     one = one_per_key(wanted, table, kept).filter(F.col(table.day).isin(*days))
     return one if columns is None else one.select(*table.key, *columns)

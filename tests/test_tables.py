@@ -288,3 +288,19 @@ def test_scratch_is_below_the_named_folder(spark):
     made = [scratch_dir(spark, "x") for _ in range(2)]
     assert made[0] != made[1]
     assert base is None or all(m.startswith(f"{base.rstrip('/')}/") for m in made)
+
+
+def test_the_keys_of_a_day_go_to_the_rows(spark, settings, monkeypatch):
+    """Whatever size Spark takes them for; too many are shuffled. The result is the same."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    path = scratch_dir(spark, "test-day-keys")
+    rows = spark.range(40).selectExpr("cast(id AS string) AS id", "if(id < 10, '2024-02-02', '2024-03-03') AS create_date")
+    rows = rows.withColumn("arrival_ts", F.lit(dt.datetime(2024, 1, 1))).withColumns(
+        {n: F.lit(None).cast(k) for n, k in tables.ORDERS.columns if n not in ("id", "create_date", "arrival_ts")}
+    )
+    tables.write_batch(rows, tables.ORDERS, path, 0)
+    for most, broadcast in ((10, True), (9, False)):
+        monkeypatch.setattr(tables, "DAY_KEYS", most)
+        day = tables.read_table(spark, tables.ORDERS, path, days=["2024-02-02"])
+        assert sorted(r.id for r in day.collect()) == [str(i) for i in range(10)]
+        assert ("BroadcastHashJoin" in day._jdf.queryExecution().executedPlan().toString()) is broadcast
