@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_stream.llm import text_tries
-from retail_stream.llm.common import WHITE, stored
+from retail_stream.llm.common import WHITE, small_batches, stored
 
 COPY = "E"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -134,4 +134,6 @@ def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Column] | None
     count as often as they are there; columns other than doc_id, text and lang are not looked at.
     """
     names = "".join(failures() if filters is None else filters) + COPY
-    return interactions(stored(mask_counts(docs, labels, filters), "masks"), names)
+    with small_batches(docs.sparkSession):
+        masks = stored(mask_counts(docs, labels, filters), "masks")
+    return interactions(masks, names)

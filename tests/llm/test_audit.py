@@ -7,6 +7,7 @@ import zlib
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,3 +335,32 @@ def test_codes_of_other_lengths_and_none(spark):
     assert sorted(r.vec_id for r in rows.collect()) == [1, 2] and books.shape == (16, 2, 1)
     rows, books = vector_codes.compress(spark.createDataFrame([], VECTORS))
     assert rows.count() == 0 and books.shape == (16, 0, 1)
+
+
+def test_texts_travel_in_small_batches(spark, monkeypatch):
+    """Long texts of one partition come to a task a few at a time, and the session's own limit returns."""
+    from retail_stream.llm import common
+
+    rows = spark.range(0, 60, 1, 1).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"),
+        F.repeat(F.col("id").cast("string"), 100_000).alias("text"),
+    )
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    before, found = spark.conf.get(common.ARROW_BYTES), []
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], ["n", "bytes"])
+
+    whole = text_tries.local_terminals
+
+    def watched(docs, *more):
+        found.extend(docs.select("text").mapInArrow(sizes, "n bigint, bytes bigint").collect())
+        return whole(docs, *more)
+
+    monkeypatch.setattr(text_tries, "local_terminals", watched)
+    kept = filter_audit.audit(rows, labels).filter("filter_order = 'ABCDE' and step = 1").first()
+    assert kept.kept + kept.removed == 60
+    assert sum(r.n for r in found) == 60 and len(found) > 2
+    assert max(r.bytes for r in found) < 2 * common.BATCH_BYTES
+    assert spark.conf.get(common.ARROW_BYTES) == before
