@@ -27,14 +27,17 @@ MIN_TOKENS = 6
 # Share of the tokens that have to agree with a leaf's template, leading ones included.
 SIMILARITY = 0.75
 FIELD = "<*>"
+# White space that is more than one space between two tokens, and what makes a line not blank.
+LOOSE = r"[\x09-\x0D]|\x20\x20"
+TOKEN = r"[^\x20\x09-\x0D]"
 # A token that has a digit; linear, as a token is looked at once.
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def masked(line: Column) -> Column:
     """The line's tokens with one space between them, variable ones as a field; empty for a blank line."""
-    squeezed = F.trim(F.regexp_replace(line, WHITE, " "))
-    return F.when(F.rlike(squeezed, F.lit("[0-9]")), F.regexp_replace(squeezed, VARIABLE, FIELD)).otherwise(squeezed)
+    squeezed = F.trim(F.when(F.rlike(line, F.lit(LOOSE)), F.regexp_replace(line, WHITE, " ")).otherwise(line))
+    return F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(squeezed, VARIABLE, FIELD)).otherwise(squeezed)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -45,7 +48,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _lines(docs: DataFrame) -> DataFrame:
     """doc, version, at, leaf, template, n for every line that is not blank."""
     lines = _keyed(docs).select("doc", "version", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    tokens = lines.select("doc", "version", "at", masked(F.col("line")).alias("masked")).filter("masked <> ''")
+    # A filter on the masked line would have every line masked twice, for the filter and for the rows.
+    some = lines.filter(F.rlike("line", F.lit(TOKEN)))
+    tokens = some.select("doc", "version", "at", masked(F.col("line")).alias("masked"))
     n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     return tokens.select(
         "doc", "version", "at", n.alias("n"), F.xxhash64("masked").alias("template"),

@@ -250,3 +250,20 @@ def test_line_templates(spark, which, counts):
     assert cases.rows_of(found, "doc_id", "text", "n_dropped") == expected
     assert which == "empty" or any(n for *_, n in expected)
     assert "version" in found.columns
+
+
+def test_lines_are_masked_once(spark):
+    """The costly replacement of variable tokens stands once in the plan; odd white space is as before."""
+    texts = ["a  b1\tc\n\n \t \r\n x y \u000b z9z \r\n9", " lead", "trail ", "plain words", " ", "1", "a\u0085b  2", ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    lines = line_templates._lines(rows)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(line_templates.VARIABLE) == 1
+    # The number of tokens of every line that has one, by its place.
+    found = sorted((r.doc, r.at, r.n) for r in lines.select("doc", "at", "n").collect())
+    words = [(i, at, len(cases.WORD.findall(x))) for i, t in enumerate(texts) for at, x in enumerate(t.split("\n"))]
+    assert found == sorted(w for w in words if w[2])
+    every = [x for t in texts for x in t.split("\n")]
+    masks = spark.createDataFrame([(x,) for x in every], "line string").select("line", line_templates.masked(F.col("line")).alias("m"))
+    for r in masks.collect():
+        assert r.m == " ".join(line_templates.FIELD if re.search("[0-9]", w) else w for w in cases.WORD.findall(r.line))
