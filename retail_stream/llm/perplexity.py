@@ -1,6 +1,7 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of symbol n-grams, trained on trusted
-text, gives every document a perplexity, held against quantiles of its language; a table of words that
-labelled toxic documents use and trusted ones do not tells toxic documents, where one word counts.
+"""Quality classifier: an interpolated modified Kneser-Ney model of word n-grams (``word_model``), trained on
+trusted text, gives every document a perplexity, held against quantiles of its language. So does, beside it,
+a model of symbol n-grams: words tell text of no language, symbols tell one word repeated, or marks. A table
+of words that labelled toxic documents use and trusted ones do not tells toxic documents, where one word counts.
 
 Symbols are characters folded into 64 classes, n-grams have four of them. So a model has at most 64**4
 entries whatever the corpus holds, which is the proven bound under which it is sent to the tasks. What
@@ -10,14 +11,16 @@ quantiles - are Spark aggregations and joins sharded by n-gram, and grow with th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_stream.llm.common import chunks, stored
+from retail_stream.llm import word_model
+from retail_stream.llm.common import chunks, no_old_shuffles, stored
+from retail_stream.llm.word_model import discounts
 
 ORDER = 4
 BITS = 6
@@ -96,14 +99,6 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "code bigint, c bigint").groupBy("code").agg(F.sum("c").alias("c"))
 
 
-def _discounts(*n: int) -> list[float]:
-    """D1, D2 and D3+ from how many n-grams were counted once, twice, three and four times."""
-    if not all(n):
-        return [0.5, 1.0, 1.5]
-    y = n[0] / (n[0] + 2 * n[1])
-    return [max(min(i - (i + 1) * y * n[i] / n[i - 1], float(i)), 0.01) for i in (1, 2, 3)]
-
-
 def train(texts: DataFrame) -> DataFrame:
     """k, code, alpha, gamma: for each order k its n-grams' discounted shares (alpha) and its contexts'
     weight of the order below (gamma); the other column is null.
@@ -119,7 +114,7 @@ def train(texts: DataFrame) -> DataFrame:
         if k < ORDER:
             suffix = F.col("code").bitwiseAND(SYMBOLS**k - 1)
             grams = stored(grams.groupBy(suffix.alias("code")).agg(F.count(F.lit(1)).alias("c")), "grams")
-        d = _discounts(*grams.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first())
+        d = discounts(*grams.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first())
         off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
         rows = grams.select("code", F.shiftright("code", BITS).alias("context"), "c", off.alias("off"))
         context = stored(rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("off").alias("held")), "contexts")
@@ -240,51 +235,84 @@ def _thresholds(rated: DataFrame, quantile: float) -> DataFrame:
     )
 
 
+def _scorer(good: DataFrame) -> Callable[[DataFrame, str], DataFrame]:
+    """Of ``lang``, ``y`` (mean negative log probability) and ``x`` (one by the number of predictions) of
+    trusted documents: what adds to other such rows, under a name, how many standard deviations ``y`` is above
+    the trusted mean of the language."""
+    fit = [F.count(F.lit(1)).alias("docs"), F.avg("y").alias("mean")]
+    means = good.groupBy("lang").agg(*fit).filter(F.col("docs") >= LEAST_TRUSTED).select(F.col("lang").alias("of"), "mean")
+    whole = good.agg(*fit).select(F.col("mean").alias("all_mean"), F.lit(1).alias("one"))
+    off = (
+        good.join(F.broadcast(means), F.col("lang").eqNullSafe(F.col("of")), "left")
+        .withColumn("one", F.lit(1)).join(F.broadcast(whole), "one")
+        .select("lang", "x", "all_mean", F.pow(F.col("y") - F.coalesce("mean", "all_mean"), 2).alias("d"))
+    )
+    slope = F.greatest(F.coalesce(F.covar_pop("x", "d") / F.nullif(F.var_pop("x"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
+    level = [F.count(F.lit(1)).alias("docs"), slope.alias("b"), F.avg("x").alias("x"), F.avg("d").alias("d")]
+    # The level is no less than a tenth of the mean variance, so that no long text is held against nothing.
+    fitted = lambda rows: rows.withColumn("a", F.greatest(F.col("d") - F.col("b") * F.col("x"), F.col("d") / 10, F.lit(1e-9)))
+    own_fit = fitted(off.groupBy("lang").agg(*level)).filter(F.col("docs") >= LEAST_TRUSTED).select(F.col("lang").alias("of_fit"), "a", "b")
+    all_fit = fitted(off.agg(*level)).select(F.col("a").alias("all_a"), F.col("b").alias("all_b"), F.lit(1).alias("one"))
+    # At most a row for each language that has enough trusted documents.
+    means, whole, own_fit, all_fit = (stored(f, "fit") for f in (means, whole, own_fit, all_fit))
+    variance = F.coalesce("a", "all_a") + F.coalesce("b", "all_b") * F.col("x")
+
+    def add(rows: DataFrame, name: str) -> DataFrame:
+        return (
+            rows.join(F.broadcast(means), F.col("lang").eqNullSafe(F.col("of")), "left")
+            .join(F.broadcast(own_fit), F.col("lang").eqNullSafe(F.col("of_fit")), "left")
+            .withColumn("one", F.lit(1)).join(F.broadcast(whole), "one", "left").join(F.broadcast(all_fit), "one", "left")
+            .withColumn(name, (F.col("y") - F.coalesce("mean", "all_mean")) / F.sqrt(variance))
+            .drop("of", "mean", "of_fit", "a", "b", "one", "all_mean", "all_a", "all_b")
+        )
+
+    return add
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, score, threshold, toxicity, toxicity_threshold, version, kept;
-    one row per input row.
+    """doc_id, lang, n_symbols, n_words, perplexity, score, threshold, spelling_score, spelling_threshold,
+    toxicity, toxicity_threshold, version, kept; one row per input row.
 
     ``version`` is a hash of the text: rows of equal version and lang have equal verdicts.
 
-    The score says how many standard deviations the document's mean negative log probability is above
-    its language's trusted mean. The deviation depends on the length: variance a + b / n_symbols, with a
-    and b fitted to the language's trusted documents, so the threshold on the perplexity is one for each
-    length and a short clean text is not taken for noise. Toxicity is the log odds of the document's
-    worst word (``toxic_words``), 0 without such a word; its quantile is taken over trusted documents,
-    each without its own share in the counts. Mean, deviation and quantile of the score come from trusted
-    documents too, each rated by a model of the half it is not in. A document is kept if toxicity and
-    score are at most the quantiles of its language's trusted documents plus the margin. A null or empty
-    text has no perplexity and is not kept. A language (null counts as one) with fewer than
-    LEAST_TRUSTED trusted documents is held against all languages together; without any trusted
-    document nothing is rejected but empty texts.
+    Perplexity, score and threshold are those of words, the spelling's those of symbols. A score says how many
+    standard deviations the document's mean negative log probability is above its language's trusted mean. The
+    deviation depends on the length: variance a + b / predictions, with a and b fitted to the language's trusted
+    documents, so the threshold is one for each length and a short clean text is not taken for noise. Toxicity
+    is the log odds of the document's worst word (``toxic_words``), 0 without such a word; its quantile is taken
+    over trusted documents, each without its own share in the counts. Mean, deviation and quantile of the scores
+    come from trusted documents too, each rated by a model of the half it is not in. A document is kept if
+    toxicity and both scores are at most the quantiles of its language's trusted documents plus the margin. A
+    null or empty text has no perplexity and is not kept. A language (null counts as one) with fewer than
+    LEAST_TRUSTED trusted documents is held against all languages together; without any trusted document nothing
+    is rejected but empty texts.
     """
+    with no_old_shuffles(docs.sparkSession):
+        return _classify(docs, labels, quantile, margin)
+
+
+def _classify(docs: DataFrame, labels: DataFrame, quantile: float, margin: float) -> DataFrame:
     ids = stored(trusted_ids(labels), "trusted")
     numbered = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).select("doc_id", "lang", "text")
     trusted = stored(_of_ids(numbered, ids), "trusted-texts")
+    by_words = word_model.perplexities(docs, trusted.select("text"))
     scored = perplexities(docs, train(trusted.select("text")))
     real = F.col("n_symbols") > 1
-    # One row per language that has enough trusted documents, and one for all of them.
-    y, x = F.col("nll") / F.col("n_symbols"), 1 / F.col("n_symbols")
     # A model fits the text it was trained on better than other clean text, so trusted documents are
     # held against a model of the trusted documents with another last bit in the hash of their text.
     fold = F.xxhash64(F.col("text").cast("string")).bitwiseAND(1)
     halves = [perplexities(trusted.filter(fold == k), train(trusted.filter(fold != k).select("text")), "unseen") for k in (0, 1)]
-    unseen = halves[0].unionByName(halves[1])
-    good = unseen.filter(real).select("lang", y.alias("y"), x.alias("x"))
-    fit = [F.count(F.lit(1)).alias("docs"), F.avg("y").alias("mean")]
-    means = good.groupBy("lang").agg(*fit).filter(F.col("docs") >= LEAST_TRUSTED).select(F.col("lang").alias("of"), "mean")
-    whole = good.agg(*fit).select(F.col("mean").alias("all_mean"), F.lit(1).alias("one"))
-    off = (
-        good.join(F.broadcast(means), F.col("lang").eqNullSafe(F.col("of")), "left")
-        .withColumn("one", F.lit(1)).join(F.broadcast(whole), "one")
-        .select("lang", "x", "all_mean", F.pow(F.col("y") - F.coalesce("mean", "all_mean"), 2).alias("d"))
+    unseen = halves[0].unionByName(halves[1]).filter(real)
+    rated_words = lambda nll: by_words.select(
+        "version", "n_words", F.col(nll).alias("word_nll"),
+        (F.col(nll) / (F.col("n_words") + 1)).alias("word_y"), (1 / (F.col("n_words") + 1)).alias("word_x"),
     )
-    slope = F.greatest(F.coalesce(F.covar_pop("x", "d") / F.nullif(F.var_pop("x"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
-    level = [F.count(F.lit(1)).alias("docs"), slope.alias("b"), F.avg("x").alias("x"), F.avg("d").alias("d")]
-    # The level is no less than a tenth of the mean variance, so that no long text is held against nothing.
-    fitted = lambda rows: rows.withColumn("a", F.greatest(F.col("d") - F.col("b") * F.col("x"), F.col("d") / 10, F.lit(1e-9)))
-    own_fit = fitted(off.groupBy("lang").agg(*level)).filter(F.col("docs") >= LEAST_TRUSTED).select(F.col("lang").alias("of_fit"), "a", "b")
-    all_fit = fitted(off.agg(*level)).select(F.col("a").alias("all_a"), F.col("b").alias("all_b"), F.lit(1).alias("one"))
+    unseen = stored(unseen.join(rated_words("unseen_nll"), "version"), "unseen-rated")
+    symbol, word = {"y": F.col("nll") / F.col("n_symbols"), "x": 1 / F.col("n_symbols")}, {"y": F.col("word_y"), "x": F.col("word_x")}
+    scorers = {
+        name: (of, _scorer(unseen.select("lang", *[c.alias(k) for k, c in of.items()])))
+        for name, of in (("score", word), ("spelling_score", symbol))
+    }
     words = stored(toxic_words(numbered.select("doc_id", "text"), ids, stored(toxic_ids(labels), "toxic")), "toxic-words")
     listed = F.broadcast(words) if words.count() * WORD_BYTES <= BROADCAST_BYTES else words
     worst = stored(
@@ -292,37 +320,35 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
         .groupBy("version").agg(F.max("odds").alias("odds"), F.max("own").alias("own")),
         "worst-words",
     )
-    score = (y - F.coalesce("mean", "all_mean")) / F.sqrt(F.coalesce("a", "all_a") + F.coalesce("b", "all_b") * x)
 
     def rate(rows: DataFrame) -> DataFrame:
-        return (
-            rows.join(F.broadcast(means), F.col("lang").eqNullSafe(F.col("of")), "left")
-            .join(F.broadcast(own_fit), F.col("lang").eqNullSafe(F.col("of_fit")), "left")
-            .withColumn("one", F.lit(1)).join(F.broadcast(whole), "one", "left").join(F.broadcast(all_fit), "one", "left")
-            .join(worst, "version", "left")
-            .withColumn("score", F.when(real, score))
-            .withColumn("toxicity", F.greatest(F.coalesce("odds", F.lit(0.0)), F.lit(0.0)))
-            .withColumn("bin", F.ceil(F.col("score") * GRID))
-            .withColumn("toxic_bin", F.ceil(F.greatest(F.coalesce("own", F.lit(0.0)), F.lit(0.0)) * GRID))
-        )
-
-    columns = ["doc_id", "lang", "version", "n_symbols", "nll", "score", "toxicity"]
-    rated = stored(rate(scored).select(columns), "rated")
-    real_rated = stored(rate(unseen.filter(real)).select("lang", F.lit(True).alias("trusted"), "bin", "toxic_bin"), "trusted-rated")
+        for name, (of, add) in scorers.items():
+            rows = add(rows.withColumns(of), name).drop("y", "x").withColumn(name, F.when(real, F.col(name)))
+        return rows.join(worst, "version", "left").withColumns({
+            "toxicity": F.greatest(F.coalesce("odds", F.lit(0.0)), F.lit(0.0)),
+            "own_toxicity": F.greatest(F.coalesce("own", F.lit(0.0)), F.lit(0.0)),
+        })
+
+    columns = ["doc_id", "lang", "version", "n_symbols", "n_words", "word_nll", "score", "spelling_score", "toxicity"]
+    rated = stored(rate(scored.join(rated_words("nll"), "version")).select(columns), "rated")
+    bins = [F.ceil(F.col(c) * GRID).alias(c) for c in ("score", "spelling_score", "own_toxicity")]
+    real_rated = stored(rate(unseen).select("lang", F.lit(True).alias("trusted"), *bins), "trusted-rated")
     held = rated.withColumn("one", F.lit(1))
-    for name, rows in (("threshold", real_rated), ("toxicity_threshold", real_rated.withColumn("bin", F.col("toxic_bin")))):
-        limits = stored(_thresholds(rows, quantile), name)
+    for name, bin_ in (("threshold", "score"), ("spelling_threshold", "spelling_score"), ("toxicity_threshold", "own_toxicity")):
+        limits = stored(_thresholds(real_rated.select("lang", "trusted", F.col(bin_).alias("bin")), quantile), name)
         own = limits.filter(~F.col("all") & (F.col("total") >= LEAST_TRUSTED)).select(F.col("lang").alias("of"), F.col("threshold").alias("own"))
         common = limits.filter("all").agg(F.max("threshold").alias("common")).withColumn("one", F.lit(1))
         held = (
             held.join(own, F.col("lang").eqNullSafe(F.col("of")), "left").join(F.broadcast(common), "one", "left")
             .withColumn(name, F.coalesce("own", "common") / GRID + margin).drop("of", "own", "common")
         )
-    fits = F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)) & F.coalesce(
-        F.col("toxicity") <= F.col("toxicity_threshold"), F.lit(True)
-    )
+    fits = [
+        F.coalesce(F.col(a) <= F.col(b), F.lit(True))
+        for a, b in (("score", "threshold"), ("spelling_score", "spelling_threshold"), ("toxicity", "toxicity_threshold"))
+    ]
     return held.select(
-        "doc_id", "lang", "n_symbols", F.when(real, F.exp(F.col("nll") / F.col("n_symbols"))).alias("perplexity"),
-        "score", "threshold", "toxicity", "toxicity_threshold", "version",
-        F.when(real, fits).otherwise(F.lit(False)).alias("kept"),
+        "doc_id", "lang", "n_symbols", "n_words",
+        F.when(real, F.exp(F.col("word_nll") / (F.col("n_words") + 1))).alias("perplexity"),
+        "score", "threshold", "spelling_score", "spelling_threshold", "toxicity", "toxicity_threshold", "version",
+        F.when(real, fits[0] & fits[1] & fits[2]).otherwise(F.lit(False)).alias("kept"),
     )
