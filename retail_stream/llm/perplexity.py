@@ -294,8 +294,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
 def _classify(docs: DataFrame, labels: DataFrame, quantile: float, margin: float) -> DataFrame:
     ids = stored(trusted_ids(labels), "trusted")
     numbered = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).select("doc_id", "lang", "text")
+    # The words' tables take most of the disk, and read the trusted texts once: those are written after them.
+    by_words = word_model.perplexities(docs, _of_ids(numbered, ids).select("text"))
     trusted = stored(_of_ids(numbered, ids), "trusted-texts")
-    by_words = word_model.perplexities(docs, trusted.select("text"))
     scored = perplexities(docs, train(trusted.select("text")))
     real = F.col("n_symbols") > 1
     # A model fits the text it was trained on better than other clean text, so trusted documents are

@@ -2,6 +2,7 @@
 
 import math
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -88,3 +89,33 @@ def test_salads_of_known_symbols_are_told_by_words(spark):
     p = kneser_ney(clean)
     for i, text in enumerate([*clean, *salad]):
         assert math.isclose(found[i].perplexity, math.exp(p(text) / 41), rel_tol=1e-4)
+
+
+def test_slices_are_counted_and_joined_one_at_a_time_and_deleted(spark, monkeypatch):
+    """Same results in several slices as in one; none holds much more than its share, and no table stays."""
+    paths, sizes = [], []
+    scratch, rest = word_model.scratch_dir, word_model.Weights.rest
+
+    def noted(*args):
+        paths.append(scratch(*args))
+        return paths[-1]
+
+    def counted(self, k, least):
+        rows = rest(self, k, least)
+        sizes.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(word_model, "scratch_dir", noted)
+    monkeypatch.setattr(word_model.Weights, "rest", counted)
+    rows = [(i, t) for i, t in enumerate([*TEXTS, TEXTS[0], "", None])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = []
+    for slice_rows in (1 << 40, 1000):
+        sizes.clear()
+        result = word_model.perplexities(docs, docs.filter("doc_id < 60").select("text"), 0, slice_rows)
+        found.append({r.version: r for r in result.collect()})
+    assert len(sizes) > 2 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    assert paths and not any(Path(p.removeprefix("file:")).exists() for p in paths)
+    assert found[0].keys() == found[1].keys()
+    for version, row in found[0].items():
+        assert np.allclose(row, found[1][version], rtol=1e-6)
