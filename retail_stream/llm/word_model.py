@@ -183,7 +183,7 @@ class Weights:
 
     def of(self, pairs: DataFrame) -> DataFrame:
         """b, c, n and the weights of some of the pairs."""
-        ratio = [self._ratio[m].alias(f"r{m}") for m in MODELS]
+        ratio = [self._ratio[m].cast("float").alias(f"r{m}") for m in MODELS]
         known = pairs.join(self._left, "b").select("b", "c", (F.col("even") + F.col("odd")).alias("n"), *ratio)
         weight = [F.log(F.col(f"r{m}") / F.col(f"p{m}") + 1).cast("float").alias(f"w{m}") for m in MODELS]
         return known.join(self._right, "c").select("b", "c", "n", *weight)
