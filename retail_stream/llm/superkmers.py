@@ -11,6 +11,9 @@ have equal minimisers, so they meet in one bucket. The steps, each a Spark job:
    every window in a bucket.
 4. First places are joined back to all places, which gives the windows that occur earlier.
 
+What a step shuffles or stores is deleted when the steps that read it have ended, so the disk holds a part of
+it at a time.
+
 A minimiser frequent in a task's batch is known to repeat: one row stands for the batch where rows are
 counted, the others pass by another route, so no reducer gets all rows of a hot one.
 """
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_stream.llm.common import chunks, doc_key, stored
+from retail_stream.llm.common import chunks, doc_key, kept, no_old_shuffles, stored
 
 # Ids met more than once go to the texts up to this many bytes; beyond it both are shuffled.
 BROADCAST_BYTES = 32 << 20
@@ -216,7 +219,7 @@ def repeated(texts: DataFrame, units: Units) -> DataFrame:
 
     rows = texts.select("doc", "version", "text").mapInArrow(scan, f"{PLACES}, route int")
     met = rows.repartition("m", F.greatest("route", F.lit(0))).sortWithinPartitions("m", "route")
-    return stored(met.mapInArrow(more_than_once, PLACES), "super-kmers")
+    return met.mapInArrow(more_than_once, PLACES)
 
 
 def packed_strings(texts: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
@@ -249,8 +252,9 @@ def runs(first: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int
             o = i
 
 
-def _by_hash(strings: DataFrame, units: Units) -> DataFrame:
-    """First places in hot buckets, by 128-bit window hashes: as many tasks as there is data."""
+def _by_hash(strings: DataFrame, units: Units) -> tuple[DataFrame, Callable[[], None]]:
+    """First places in hot buckets, by 128-bit window hashes: as many tasks as there is data; and what deletes
+    the rows they are read from."""
 
     def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -260,25 +264,31 @@ def _by_hash(strings: DataFrame, units: Units) -> DataFrame:
                     out.append((row.m, row.sk, o, blake2b(w, digest_size=16).digest(), row.doc, row.version, row.place + o))
             yield pd.DataFrame(out, columns=["m", "sk", "o", "w", "doc", "version", "place"])
 
-    rows = stored(
+    rows, drop = kept(
         strings.mapInPandas(
             explode, "m bigint, sk bigint, o int, w binary, doc bigint, version bigint, place bigint"
         ), "hot-windows"
     )
     first = rows.groupBy("w").agg(F.min(F.struct("doc", "version", "place")).alias("f"))
-    return rows.join(first, "w").select(
+    found = rows.join(first, "w").select(
         "m", "sk", "o", F.lit(1).alias("n"), F.col("f.doc").alias("first_doc"),
         F.col("f.version").alias("first_version"), F.col("f.place").alias("first_place"),
     )
+    return found, drop
 
 
 def removed_windows(texts: DataFrame, units: Units, settle: Callable[[DataFrame], DataFrame], same_doc: bool, hot: int = HOT) -> DataFrame:
     """doc, version, spans: (start, n) runs of windows of ``keyed`` texts that occur earlier: in a smaller doc, or with
     ``same_doc`` also earlier in the same one. ``settle`` turns packed strings of buckets of at most
     ``hot`` different super-k-mers into rows of RUNS."""
-    places = repeated(texts, units)
+    with no_old_shuffles(texts.sparkSession):
+        return _removed_windows(texts, units, settle, same_doc, hot)
+
+
+def _removed_windows(texts: DataFrame, units: Units, settle: Callable[[DataFrame], DataFrame], same_doc: bool, hot: int) -> DataFrame:
+    places, drop_places = kept(repeated(texts, units), "super-kmers")
     first = places.groupBy("m", "sk").agg(F.min(F.struct("doc", "version", "at")).alias("f")).select("m", "sk", "f.*")
-    first = stored(first, "first-places")
+    first, drop_first = kept(first, "first-places")
     counts = first.groupBy("m").agg(F.count(F.lit(1)).alias("different"))
     first = first.join(counts, "m")
     alone = first.filter("different = 1").select(
@@ -287,24 +297,30 @@ def removed_windows(texts: DataFrame, units: Units, settle: Callable[[DataFrame]
         F.shiftright("at", 8).alias("first_place"),
     )
     several = first.filter("different > 1")
-    strings = stored(packed_strings(texts, several.select("m", "sk", "doc", "version", "at"), units), "packed")
+    strings, drop_strings = kept(packed_strings(texts, several.select("m", "sk", "doc", "version", "at"), units), "packed")
     large = counts.filter(F.col("different") > hot).select("m")
     usual = settle(strings.join(large, "m", "left_anti"))
-    hashed = _by_hash(strings.join(large, "m", "left_semi"), units)
-    known = alone.unionByName(usual).unionByName(hashed)
+    hashed, drop_hashed = _by_hash(strings.join(large, "m", "left_semi"), units)
+    known, drop_known = kept(alone.unionByName(usual).unionByName(hashed), "known-places")
+    for drop in (drop_first, drop_strings, drop_hashed):
+        drop()
     place = F.shiftright("at", 8) + F.col("o")
     earlier = F.col("first_doc") < F.col("doc")
     if same_doc:
         before = (F.col("first_version") == F.col("version")) & (F.col("first_place") < place)
         before |= F.col("first_version") < F.col("version")
         earlier |= (F.col("first_doc") == F.col("doc")) & before
-    return (
+    spans = (
         places.join(known, ["m", "sk"])
         .filter(earlier)
         .select("doc", "version", F.struct(place.alias("start"), "n").alias("span"))
         .groupBy("doc", "version")
         .agg(F.collect_set("span").alias("spans"))
     )
+    spans = stored(spans, "spans")
+    drop_places()
+    drop_known()
+    return spans
 
 
 def covered(n_units: int, spans, window: int) -> np.ndarray:

@@ -1,12 +1,13 @@
 """Substring removal against brute force, with hot buckets and rows that share an id."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 import cases
-from retail_stream.llm import byte_windows, induced_sort, superkmers, word_windows
+from retail_stream.llm import byte_windows, common, induced_sort, superkmers, word_windows
 
 WORDS = ("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -101,3 +102,20 @@ def test_versions_that_agree_in_23_bits(spark, monkeypatch, broadcast):
     got = byte_windows.remove_repeats(cases.frame(spark, docs)).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(d[0]) for d in docs)
     assert all(r.n_removed >= len(other) for r in got if r.doc_id in (None, 7))
+
+
+def test_what_steps_store_and_shuffle_is_deleted_when_read(spark, monkeypatch):
+    paths, scratch = [], common.scratch_dir
+
+    def noted(*args):
+        paths.append(scratch(*args))
+        return paths[-1]
+
+    monkeypatch.setattr(common, "scratch_dir", noted)
+    before = spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    docs = cases.hard_documents()[:20]
+    found = byte_windows.digest(byte_windows.remove_repeats(cases.frame(spark, docs), **SMALL_LIMITS))
+    left = {Path(p).name.rpartition("-")[0] for p in paths if Path(p).exists()}
+    assert left == {"repeated-ids", "spans"} and len(paths) == 7
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == before
+    assert cases.rows_of(found, *BYTES) == cases.byte_dedup(docs)
