@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_stream import schemas
+from retail_stream.scratch import no_old_shuffles
 from retail_stream.sinks import commits, files
 
 NO_BATCH = -1
@@ -212,13 +213,21 @@ def batch_writer(
     return lambda rows, batch_id: write_batch(rows, table, path, batch_id, rows_per_file, fan)
 
 
-def write_table(rows: DataFrame, table: Table, path: str, batch_id: int = 0) -> None:
+def write_table(rows: DataFrame, table: Table, path: str, batch_id: int = 0, slices: int = 1) -> None:
     """Write a whole batch result. The rebalance step keeps every folder to few files of even size
-    and splits a folder that holds most rows."""
+    and splits a folder that holds most rows.
+
+    In ``slices`` of the first key column's hash the rows are computed one slice after the other and committed
+    together: the disk holds what is shuffled for one of them beside the table, and their input is read that often.
+    """
     placed = _placed(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table)
-    if table.folder:
-        placed = placed.hint("rebalance", table.folder)
-    made = _write(placed, table, path, batch_id)
+    made: tuple[commits.Folder, ...] = ()
+    with no_old_shuffles(rows.sparkSession):
+        for k in range(slices):
+            part = placed
+            if slices > 1:
+                part = placed.filter(F.pmod(F.xxhash64(table.key[0]), F.lit(slices)) == k)
+            made += _write(part.hint("rebalance", table.folder) if table.folder else part, table, path, batch_id)
 
     def change(now: commits.Version) -> commits.Change:
         earlier = [f.path for f in now.folders if f.batch == batch_id and not f.level]
