@@ -17,7 +17,7 @@ from retail_stream.scratch import scratch_dir
 from retail_stream.sinks import files, tables, topics
 from retail_stream.sources import topics as sources
 from retail_stream.streaming import jobs, keyed_state, operators
-from retail_stream.streaming.replay import arrival_bounds, replay
+from retail_stream.streaming.replay import LEAN, arrival_bounds, replay
 
 DAY = 1_704_067_200_000
 START = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
@@ -561,3 +561,49 @@ def test_first_days_ask_the_state_once_per_device():
     assert days("2024-01-03", "2024-01-02") == [] and calls == ["get"]
     assert days("2024-01-03", "2024-01-01") == [("2024-01-01", "m", True), ("2024-01-02", "m", False)]
     assert calls == ["get", "get", ("2024-01-01",)]
+
+
+def test_a_replay_keeps_little_more_than_its_next_run_needs(spark):
+    """Twelve parts: messages of ended parts are gone, and of old batches the log and the state."""
+    path, before = scratch_dir(spark, "test-lean"), {k: spark.conf.get(k, None) for k in LEAN}
+    made = spark.range(120).selectExpr("'t' AS topic", "cast(id % 7 AS string) AS value", "timestamp_millis(id * 1000) AS arrival_ts")
+    seen = []
+
+    def start():
+        raw = sources.read_messages(spark, "t", "json", {"path": path}).groupBy("value").count()
+        seen.append(sorted(f for f in files.folders_in(spark, f"{path}/topic=t")))
+        assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "2"
+        out = raw.writeStream.outputMode("complete").option("checkpointLocation", f"{path}-c").trigger(**jobs.AVAILABLE_NOW)
+        return out.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{path}-out")).start()
+
+    replay(made, path, start, bounds=[10_000_000 * i for i in range(1, 12)], forget=True)
+    assert seen == [[f"batch_id={i}"] for i in range(12)]
+    assert files.folders_in(spark, f"{path}/topic=t") == []
+    assert len(files.files_in(spark, f"{path}-c/commits")) <= 3
+    assert sum(r["count"] for r in spark.read.parquet(f"{path}-out").collect()) == 120
+    assert {k: spark.conf.get(k, None) for k in LEAN} == before
+
+
+def test_changes_are_parsed_once_for_topics_and_rejects(spark, monkeypatch):
+    path, raw, decode = scratch_dir(spark, "test-changes"), [], sources.decoded_changes
+
+    def noted(frame):
+        raw.append("reason" not in frame.columns)
+        return decode(frame)
+
+    monkeypatch.setattr(sources, "decoded_changes", noted)
+    good = (
+        '{"entry_type":"ROWDATA","schema_name":"s","table_name":"user_info","event_type":"UPDATE",'
+        '"rows":[{"after":[{"name":"id","value":"5"}]}]}'
+    )
+    rows = spark.createDataFrame([(good,), ("oops",), ("{}",), (None,)], "value string")
+    topics.write_topics(rows.select(F.lit("changes").alias("topic"), "value", F.lit(at(0)).alias("arrival_ts")), "json", {"path": path})
+    feed = sources.read_messages(spark, "changes", "json", {"path": path})
+    jobs.stream_ingest_changes(
+        feed, {"path": f"{path}-made"}, f"{path}-bad", f"{path}-c", fmt="json", trigger=jobs.AVAILABLE_NOW
+    ).awaitTermination()
+    assert raw.count(True) == 1
+    made = sources.read_topic(spark, schemas.USER, "json", {"path": f"{path}-made"}, streaming=False)
+    assert [r.value for r in made.collect()] == ['{"id":"5"}']
+    bad = tables.read_table(spark, tables.REJECTS, f"{path}-bad").collect()
+    assert sorted((r.value or "", r.reason) for r in bad) == [("", "malformed"), ("oops", "malformed"), ("{}", "missing key")]
