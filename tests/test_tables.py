@@ -1,5 +1,7 @@
 import datetime as dt
+import threading
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -304,3 +306,18 @@ def test_the_keys_of_a_day_go_to_the_rows(spark, settings, monkeypatch):
         day = tables.read_table(spark, tables.ORDERS, path, days=["2024-02-02"])
         assert sorted(r.id for r in day.collect()) == [str(i) for i in range(10)]
         assert ("BroadcastHashJoin" in day._jdf.queryExecution().executedPlan().toString()) is broadcast
+
+
+def test_a_file_that_is_being_replaced_is_read_again(spark):
+    """Its checksum is still the old one."""
+    path = Path(scratch_dir(spark, "test-replaced")) / "latest"
+    crc = path.with_name(".latest.crc")
+    files.write_text(spark, str(path), "old")
+    old = crc.read_bytes()
+    files.write_text(spark, str(path), "newer", replace=True)
+    new = crc.read_bytes()
+    crc.write_bytes(old)
+    later = threading.Timer(0.2, crc.write_bytes, [new])
+    later.start()
+    assert files.read_text(spark, str(path)) == "newer"
+    later.join()
